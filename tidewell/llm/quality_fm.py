@@ -78,14 +78,14 @@ class Machine:
         return float(self.bias + self.linear[at] @ x + 0.5 * ((v.sum(0) ** 2).sum() - (v * v).sum()))
 
 
-def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs: int = 6, rate: float = 0.05, decay: float = 1e-5, seed: int = 7, batch: int = 64) -> Machine:
-    """Adagrad on the logistic loss, in a fixed order; one class or no rows gives a constant score."""
+def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, steps: int = 1_000, rate: float = 0.15, decay: float = 1e-5, seed: int = 7, batch: int = 64) -> Machine:
+    """At least ``steps`` Adagrad steps of ``batch`` rows on the logistic loss, in whole passes of a fixed order; one class or no rows gives a constant score."""
     rng = np.random.default_rng(seed)
     bias, linear, factors = 0.0, np.zeros(FEATURES), rng.normal(0, 0.02, (FEATURES, FACTORS))
     if len(labels) and 0 < labels.mean() < 1:
         bias = float(np.log(labels.mean() / (1 - labels.mean())))
         g_linear, g_factors, g_bias = np.full(FEATURES, 1e-2), np.full((FEATURES, FACTORS), 1e-2), 1e-2
-        for _ in range(epochs):
+        for _ in range(-(-steps * batch // len(rows))):
             order = rng.permutation(len(rows))
             for lo in range(0, len(order), batch):
                 part = order[lo : lo + batch]

@@ -20,7 +20,7 @@ SYMBOL = "[#*$%&|<>]"
 #: Buckets of the multinomials.
 BUCKETS = 8192
 #: Least length-normalised log-likelihood ratio of a document that is kept.
-THRESHOLD = -0.35
+THRESHOLD = -0.15
 
 
 def _hashed(docs: DataFrame, *keep: str) -> DataFrame:
