@@ -18,8 +18,11 @@ Flag 1: ids are stored as uint32 instead of uint16. Flag 2: the doc_id is null.
 from __future__ import annotations
 
 import hashlib
+import os
 import re
+import unicodedata
 import uuid
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,28 +42,57 @@ _FOOT_BYTES = 64 + len(MAGIC)
 SHARD_BYTES = 64 << 20
 #: Documents the dictionary is trained on at most, and its size.
 SAMPLE, DICTIONARY = 2_000, 64 << 10
-#: Entries of a worker's cache of encoded words; it is emptied when full.
-CACHE = 400_000
+#: Entries in each of the two generations of a worker's caches.
+CACHE = 150_000
 _GAPS = re.compile("[ \t\r\n]+")
+_CONTROL = re.compile("[\x1c-\x1f]")
+# Runs of lower-case Latin letters, and of ASCII signs and digits without the apostrophe, which may start a contraction.
+_LETTERS = "a-zß-öø-ÿĀ-ſ"
+_PLAIN = re.compile(f"(?:[{_LETTERS}]+|[!-&(-@\\[-`{{-~]+)+")
+_RUNS = re.compile(f"[{_LETTERS}]+|[^{_LETTERS}]+")
+
+
+class Remembered:
+    """A bounded dictionary of two generations: what is used stays, what isn't goes with the older one."""
+
+    def __init__(self, limit: int = CACHE):
+        self.limit, self.young, self.old = limit, {}, {}
+
+    def missing(self, keys: set[str]) -> list[str]:
+        """Keys not known; known ones of the older generation move to the younger."""
+        if len(self.young) > self.limit:
+            self.old, self.young = self.young, {}
+        new = keys - self.young.keys()
+        for k in new & self.old.keys():
+            self.young[k] = self.old[k]
+        return sorted(new - self.young.keys())
 
 
 class Encoder:
-    """Encodes texts by their white-space separated pieces, each piece once.
+    """Encodes texts by their white-space separated pieces, each distinct piece of a batch once.
 
-    That is exact for tokenizers that drop white space, normalise no character across it and
-    split at it: no token spans it, so a text's ids are its pieces' ids in order. ``whole`` encodes
-    texts as they are, for other tokenizers.
+    That is exact for tokenizers that drop white space, normalise no character across it and split at it: no token spans it, so a
+    text's ids are its pieces' ids in order. ``word_bpe`` tokenizers also lower-case and split between letters and signs, so
+    that a piece's ids are those of its runs; texts where that might not hold (an apostrophe, text not in NFC, special tokens, letters
+    whose lower case depends on their place) keep whole pieces. ``whole`` encodes texts as they are, for other tokenizers.
     """
 
     def __init__(self, path: str, end: int | None, whole: bool = False):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks share the cores already
         from tokenizers import Tokenizer
 
         self.tokenizer, self.whole = Tokenizer.from_file(path), whole
         self.end = b"" if end is None else np.array([end], "<u4").tobytes()
-        self.cache: dict[str, bytes] = {}
+        self.pieces, self.runs = Remembered(), Remembered()
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    @staticmethod
+    def _split(text: str) -> list[str]:
+        safe = "<|" not in text and "Σ" not in text and "İ" not in text and (text.isascii() or unicodedata.is_normalized("NFC", text))
+        text = text.lower() if safe else text
+        return _GAPS.split(text) if _CONTROL.search(text) else text.split()
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         """Little-endian uint32 ids of each text with the end id; null counts as empty."""
@@ -68,20 +100,16 @@ class Encoder:
             for text in texts:
                 yield self._ids([text or ""])[0] + self.end
             return
-        for text in texts:
-            # Very long pieces aren't worth a place in the cache.
-            pieces = _GAPS.split(text or "")
-            if len(self.cache) > CACHE:
-                self.cache.clear()
-            try:
-                yield b"".join(map(self.cache.__getitem__, pieces)) + self.end
-            except KeyError:
-                new = [p for p in dict.fromkeys(pieces) if p not in self.cache]
-                self.cache.update(zip(new, self._ids(new), strict=True))
-                yield b"".join(map(self.cache.__getitem__, pieces)) + self.end
-                if sum(map(len, new)) > 1 << 20:
-                    for p in new:
-                        self.cache.pop(p, None)
+        cut = [self._split(t or "") for t in texts]
+        parts = {p: _RUNS.findall(p) if "<|" not in p and _PLAIN.fullmatch(p) else [p] for p in self.pieces.missing(set().union(*cut))}
+        new = self.runs.missing({r for rs in parts.values() for r in rs})
+        known = self.runs.young
+        known.update(zip(new, self._ids(new), strict=True))
+        ids = self.pieces.young
+        for piece, runs in parts.items():
+            ids[piece] = b"".join([known[r] for r in runs])
+        for pieces in cut:
+            yield b"".join(map(ids.__getitem__, pieces)) + self.end
 
 
 def _packed(ids: bytes) -> tuple[bytes, int]:
@@ -190,9 +218,9 @@ def write_tokens(spark: SparkSession, docs: DataFrame, path: str, tokenizer: str
         squeeze = zstandard.ZstdCompressor(level=3, dict_data=shared, write_checksum=False)
         for batch in batches:
             ids = batch.column("doc_id")
-            for lo in range(0, batch.num_rows, 512):
-                out = {"doc_id": ids.slice(lo, 512), "shard": [], "n": [], "wide": [], "frame": []}
-                for doc_id, raw in zip(out["doc_id"].to_pylist(), encoder.encode(batch.column("text").slice(lo, 512).to_pylist()), strict=True):
+            for lo in range(0, batch.num_rows, 256):
+                out = {"doc_id": ids.slice(lo, 256), "shard": [], "n": [], "wide": [], "frame": []}
+                for doc_id, raw in zip(out["doc_id"].to_pylist(), encoder.encode(batch.column("text").slice(lo, 256).to_pylist()), strict=True):
                     packed, wide = _packed(raw)
                     out["shard"].append(0 if doc_id is None else int(np.searchsorted(cuts, doc_id, "right")))
                     out["n"].append(len(raw) // 4)
