@@ -27,19 +27,19 @@ def _star(pairs: DataFrame, both: bool) -> DataFrame:
     return out.where("u <> v").distinct()
 
 
-def components(scratch: Scratch, edges: DataFrame) -> DataFrame:
+def components(scratch: Scratch, edges: DataFrame, prefix: str = "edges") -> DataFrame:
     """``node, component`` (the least node it reaches) for every node on an edge ``u, v``.
 
-    Self loops, repeated and reversed edges are fine; an empty table gives an empty one.
+    ``prefix`` names the written tables; the last one stays until the caller drops it. Self loops, repeated and reversed edges are fine; an empty table gives an empty one.
     """
-    edges = scratch.keep(edges.select("u", "v").where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges0")
-    last, turn, name = None, 0, "edges0"
+    edges = scratch.keep(edges.select("u", "v").where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), f"{prefix}0")
+    last, turn, name = None, 0, f"{prefix}0"
     while True:
         now = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
         if now == last or not now["n"]:
             break
         last, turn = now, turn + 1
-        edges, old = scratch.keep(_star(_star(edges, True), False), f"edges{turn}"), name
+        edges, old = scratch.keep(_star(_star(edges, True), False), f"{prefix}{turn}"), name
         scratch.drop(old)
-        name = f"edges{turn}"
+        name = f"{prefix}{turn}"
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()

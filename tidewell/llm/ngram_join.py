@@ -25,6 +25,8 @@ SKETCH = 1 << 20
 FRAGMENTS = 8
 #: Longer posting lists are salted into blocks of about this many members.
 BLOCK = 256
+#: Bits (as a power of two) of a set's parity sketch, by least size of the set.
+PARITY = ((2000, 12), (400, 10), (0, 8))
 #: Bijections that pick the leaders of a posting list, for each of the two rounds.
 MASKS = ((0, 0x5555555555555555, 0x3C3C3C3C3C3C3C3C), (0x66CC66CC66CC66CC, 0x0F0F0F0F33333333, 0x1E2D3C4B5A697887))
 
@@ -74,7 +76,7 @@ def _ordered(s: np.ndarray, sketch: np.ndarray) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, sketch, k: int, num: int, den: int) -> DataFrame:
-    """Per row: doc_id, set size n, two hashes of the set, its first shingles in the global order, and a 1024-bit parity sketch."""
+    """Per row: doc_id, set size n, two hashes of the set, its first shingles in the global order, and a parity sketch."""
 
     def run(batch):
         sketched, size = sketch.value, batch.num_rows
@@ -86,7 +88,8 @@ def prefixes(docs: DataFrame, sketch, k: int, num: int, den: int) -> DataFrame:
             out["n"][i] = len(s)
             out["k1"][i], out["k2"][i] = _key(s)
             out["pre"][i] = _ordered(s, sketched)[: _prefix(len(s), num, den)].view(np.int64)
-            odd = np.bincount((s >> np.uint64(54)).astype(np.int64), minlength=1024) & 1
+            bits = next(b for least, b in PARITY if len(s) >= least)
+            odd = np.bincount((s >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits) & 1
             out["sig"][i] = np.packbits(odd.astype(np.uint8)).view(np.int64)
         return out
 
@@ -114,22 +117,27 @@ def fragments(docs: DataFrame, sketch, k: int) -> DataFrame:
     return arrow_map(docs, run, "rep long, f int, part array<long>")
 
 
-def _verified(pairs: DataFrame, parts: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs (x, y, nx, ny) whose fragment overlaps sum to the threshold."""
-    x = parts.select(F.col("rep").alias("x"), "f", F.col("part").alias("px"))
-    y = parts.select(F.col("rep").alias("y"), "f", F.col("part").alias("py"))
-    both = pairs.join(x, "x").join(y, ["y", "f"])
-    return both.groupBy("x", "y", "nx", "ny").agg(F.sum(F.size(F.array_intersect("px", "py"))).alias("common")).where(F.expr(f"{num + den} * common >= {num} * (nx + ny)")).select("x", "y")
+def _verified(scratch: Scratch, pairs: DataFrame, classes: DataFrame, parts: DataFrame, num: int, den: int, name: str) -> DataFrame:
+    """Links among candidate pairs (x, y, nx, ny): by parity sketch first, then by fragment overlaps that sum to the threshold."""
+    sig = lambda c: classes.select(F.col("rep").alias(c), F.col("sig").alias(f"s{c}"))
+    seen = pairs.join(sig("x"), "x").join(sig("y"), "y").where(f"{num + den} * {_bits('sx', 'sy')} <= {den - num} * (nx + ny)").select("x", "y", "nx", "ny")
+    seen = small(scratch.keep(seen, f"pairs-{name}"))
+    x = parts.select(F.col("rep").alias("x"), "f", F.col("part").alias("px")).join(seen, "x")
+    y = parts.select(F.col("rep").alias("y"), "f", F.col("part").alias("py")).join(small(scratch.keep(seen.select("y").distinct(), f"ends-{name}")), "y", "left_semi")
+    both = x.join(y, ["y", "f"]).select("x", "y", "nx", "ny", F.size(F.array_intersect("px", "py")).alias("common"))
+    linked = both.groupBy("x", "y", "nx", "ny").agg(F.sum("common").alias("common")).where(f"{num + den} * common >= {num} * (nx + ny)")
+    return scratch.keep(linked.select("x", "y"), f"links-{name}")
+
+
+def _bits(a: str, b: str) -> str:
+    """Differing bits of two parity sketches, a lower bound of the sets' difference; 0 for sketches of unlike sizes."""
+    return f"if(size({a}) = size({b}), aggregate(zip_with({a}, {b}, (p, q) -> bit_count(p ^ q)), 0, (s, z) -> s + z), 0)"
 
 
 def _near(a: str, b: str, num: int, den: int) -> str:
-    """Bounds every linked pair meets: sizes, places of a shared prefix shingle, and parity bits that differ."""
+    """Bounds that every linked pair meets at its first shared prefix shingle: sizes, and what can still be common from there on."""
     n = f"({a}.n + {b}.n)"
-    bits = f"aggregate(zip_with({a}.sig, {b}.sig, (p, q) -> bit_count(p ^ q)), 0, (s, z) -> s + z)"
-    return (
-        f"{den} * least({a}.n, {b}.n) >= {num} * greatest({a}.n, {b}.n) and {num + den} * least({a}.n - {a}.pos, {b}.n - {b}.pos) >= {num} * {n}"
-        f" and {num + den} * {bits} <= {den - num} * {n}"
-    )
+    return f"{den} * least({a}.n, {b}.n) >= {num} * greatest({a}.n, {b}.n) and {num + den} * least({a}.n - {a}.pos, {b}.n - {b}.pos) >= {num} * {n}"
 
 
 def jaccard_components(spark: SparkSession, docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataFrame:
@@ -148,12 +156,14 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, k: int = 5, num: in
     some = base.where("n > 0 and doc_id is not null")
     picked = some.groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("first"), F.min_by(F.struct("pre", "sig"), "doc_id").alias("best"))
     classes = scratch.keep(picked.select(F.col("k1").alias("rep"), "k2", "n", "first", "best.*"), "classes")
+    ids = scratch.keep(base.select("doc_id", "n", "k1", "k2"), "ids")
+    scratch.drop("sets")
     entry = classes.select("rep", "n", F.posexplode("pre").alias("pos", "tok"))
     lists = entry.groupBy("tok").agg(F.count("*").alias("size")).where("size > 1")
-    listed = scratch.keep(entry.join(lists, "tok").join(classes.select("rep", "sig"), "rep"), "listed")
+    listed = scratch.keep(entry.join(lists, "tok").drop("size"), "listed")
     needed = scratch.keep(listed.select("rep").distinct().join(classes, "rep").select(F.col("first").alias("doc_id")), "needed")
     parts = fragments(docs.join(small(needed), "doc_id", "left_semi"), sketch, k)
-    if base.groupBy("doc_id").count().where("count > 1").limit(1).count():
+    if ids.groupBy("doc_id").count().where("count > 1").limit(1).count():
         parts = parts.dropDuplicates(["rep", "f"])
     parts = scratch.keep(parts, "parts")
     links, label = None, listed.select("rep").distinct().withColumn("comp", F.col("rep"))
@@ -165,25 +175,27 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, k: int = 5, num: in
         lead = now.groupBy("tok").agg(F.array(*picks).alias("lead"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("tok", F.explode(F.array_distinct("lead")).alias("rep"))
         lead = lead.join(now, ["tok", "rep"])
         pairs = lead.alias("a").join(now.alias("b"), F.expr(f"a.tok = b.tok and a.comp <> b.comp and {_near('a', 'b', num, den)}")).select(F.expr("least(a.rep, b.rep) x"), F.expr("greatest(a.rep, b.rep) y"), F.expr("if(a.rep < b.rep, a.n, b.n) nx"), F.expr("if(a.rep < b.rep, b.n, a.n) ny")).distinct()
-        found = scratch.keep(_verified(scratch.keep(pairs, f"pairs{turn}"), parts, num, den), f"links{turn}")
+        found = _verified(scratch, pairs, classes, parts, num, den, str(turn))
         links = found if links is None else links.unionByName(found)
-        label = scratch.keep(_label(scratch, links, listed), f"label{turn}")
+        label = scratch.keep(_label(scratch, links, listed, f"graph{turn}-"), f"label{turn}")
     now = listed.join(label, "rep")
     open_ = now.groupBy("tok").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m")).where("lo < hi").select("tok", F.expr(f"cast(1 + m div {BLOCK} as int) salts"))
-    now = scratch.keep(now.join(open_, "tok"), "open")
+    now = scratch.keep(now.join(open_, "tok").join(classes.select("rep", "sig"), "rep"), "open")
     left = now.withColumn("salt", F.expr("cast(pmod(xxhash64(rep), salts) as int)"))
     right = now.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
-    pairs = left.alias("a").join(right.alias("b"), F.expr(f"a.tok = b.tok and a.salt = b.salt and a.rep < b.rep and a.comp <> b.comp and {_near('a', 'b', num, den)}")).select(F.expr("a.rep x"), F.expr("b.rep y"), F.expr("a.n nx"), F.expr("b.n ny")).distinct()
-    found = scratch.keep(_verified(scratch.keep(pairs, "pairs"), parts, num, den), "links")
-    label = _label(scratch, links.unionByName(found), listed)
+    near = f"{_near('a', 'b', num, den)} and {num + den} * {_bits('a.sig', 'b.sig')} <= {den - num} * (a.n + b.n)"
+    pairs = left.alias("a").join(right.alias("b"), F.expr(f"a.tok = b.tok and a.salt = b.salt and a.rep < b.rep and a.comp <> b.comp and {near}")).select(F.expr("a.rep x"), F.expr("b.rep y"), F.expr("a.n nx"), F.expr("b.n ny")).distinct()
+    found = _verified(scratch, pairs, classes, parts, num, den, "rest")
+    label = _label(scratch, links.unionByName(found), listed, "graph-")
     labelled = classes.join(label, "rep", "left").select(F.col("rep").alias("k1"), "k2", "n", "first", F.coalesce("comp", "rep").alias("comp"))
-    ids = labelled.groupBy("comp").agg(F.min("first").alias("component_id"))
-    member = scratch.keep(labelled.join(ids, "comp").select("k1", "k2", "n", "component_id"), "member")
-    scratch.drop(*[x for x in scratch.paths if x not in ("sets", "member")])
-    own = base.where("n > 0").join(member, ["k1", "k2", "n"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
-    return own.unionByName(base.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+    least = labelled.groupBy("comp").agg(F.min("first").alias("component_id"))
+    member = scratch.keep(labelled.join(least, "comp").select("k1", "k2", "n", "component_id"), "member")
+    scratch.drop(*[x for x in scratch.paths if x not in ("ids", "member")])
+    sketch.unpersist()
+    own = ids.where("n > 0").join(member, ["k1", "k2", "n"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
+    return own.unionByName(ids.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
 
 
-def _label(scratch: Scratch, links: DataFrame, listed: DataFrame) -> DataFrame:
-    found = components(scratch, links.select(F.col("x").alias("u"), F.col("y").alias("v")))
+def _label(scratch: Scratch, links: DataFrame, listed: DataFrame, prefix: str) -> DataFrame:
+    found = components(scratch, links.select(F.col("x").alias("u"), F.col("y").alias("v")), prefix)
     return listed.select("rep").distinct().join(found.withColumnRenamed("node", "rep"), "rep", "left").select("rep", F.coalesce("component", "rep").alias("comp"))
