@@ -362,6 +362,17 @@ def digest(spark: SparkSession, docs: DataFrame, path: str) -> DataFrame:
     return _coded(spark, docs, path, "doc_id long, n_tokens long, ids_crc32 long, restored boolean", columns)
 
 
+#: The codec a worker used last; its remembered units serve the tasks that follow.
+_last: dict[str, Codec] = {}
+
+
+def _codec(path: str, vocabulary: Pieces) -> Codec:
+    if path not in _last:
+        _last.clear()
+        _last[path] = Codec(vocabulary)
+    return _last[path]
+
+
 def _same(text: str, decoded: str) -> bool:
     return text.replace(SPACE, " ") == decoded
 
@@ -372,7 +383,7 @@ def _coded(spark: SparkSession, docs: DataFrame, path: str, ddl: str, columns) -
     sent, kind = spark.sparkContext.broadcast(vocabulary), pa_schema(spark, ddl)
 
     def each(batches):
-        codec = Codec(sent.value)
+        codec = _codec(path, sent.value)
         for batch in batches:
             for lo, hi in slices(utf8(batch.column("text"))[0], CHARS):
                 texts = [t or "" for t in batch.column("text").slice(lo, hi - lo).to_pylist()]
