@@ -112,6 +112,17 @@ class Encoder:
             yield b"".join(map(ids.__getitem__, pieces)) + self.end
 
 
+#: The encoder a worker used last; its remembered pieces serve the tasks that follow.
+_last: dict[tuple, Encoder] = {}
+
+
+def _encoder(*key) -> Encoder:
+    if key not in _last:
+        _last.clear()
+        _last[key] = Encoder(*key)
+    return _last[key]
+
+
 def _packed(ids: bytes) -> tuple[bytes, int]:
     wide = np.frombuffer(ids, "<u4")
     return (ids, 1) if len(wide) and int(wide.max()) > 0xFFFF else (wide.astype("<u2").tobytes(), 0)
@@ -123,7 +134,7 @@ def train_dictionary(docs: DataFrame, path: str, end: int | None, whole: bool =
     rows = docs.join(F.broadcast(picked.select("doc_id").distinct()), "doc_id", "left_semi").where(F.length("text") < 1 << 16).select("doc_id", "text").limit(sample)
 
     def run(batch):
-        encoder = Encoder(path, end, whole)
+        encoder = _encoder(path, end, whole)
         return {"doc_id": batch.column("doc_id"), "ids": [_packed(x)[0] for x in encoder.encode(batch.column("text").to_pylist())]}
 
     samples = arrow_map(rows, run, "doc_id long, ids binary").toArrow().sort_by("doc_id").column("ids").to_pylist()
@@ -213,7 +224,7 @@ def write_tokens(spark: SparkSession, docs: DataFrame, path: str, tokenizer: str
     sent = spark.sparkContext.broadcast(dictionary)
 
     def encoded(batches):
-        encoder = Encoder(tokenizer, end, whole)
+        encoder = _encoder(tokenizer, end, whole)
         shared = zstandard.ZstdCompressionDict(sent.value) if sent.value else None
         squeeze = zstandard.ZstdCompressor(level=3, dict_data=shared, write_checksum=False)
         for batch in batches:
