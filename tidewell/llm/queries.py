@@ -78,9 +78,9 @@ def oracle_sql() -> dict[str, str]:
 
 
 OP4 = r"""
-with recursive w as (select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '') as ws from documents),
+with recursive w as (select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') as ws from documents),
 s as (select distinct doc_id, unnest(case when len(ws) = 0 then []::varchar[] when len(ws) < 3 then [array_to_string(ws, ' ')]
-        else list_transform(range(1, len(ws) - 1), i -> ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]) end) as g from w),
+        else list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]) end) as g from w),
 n as (select doc_id, count(*) as n from s group by doc_id),
 p as (select a.doc_id as x, b.doc_id as y, count(*) as c from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by all),
 e as (select x, y from p join n nx on nx.doc_id = x join n ny on ny.doc_id = y where 100 * c >= 90 * (nx.n + ny.n - c)),
@@ -93,9 +93,9 @@ from w left join n using (doc_id) join (select a as doc_id, min(b) as component_
 OP9 = r"""
 with d as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws from documents),
 b as (select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws from benchmark),
-i as (select item_id, least(len(ws), 10) as k, unnest(list_transform(range(1, greatest(len(ws) - 9, 1) + 1), i -> array_to_string(ws[i:i + 9], ' '))) as g from b where len(ws) > 0),
+i as (select item_id, least(len(ws), 10) as k, unnest(list_transform(range(1, greatest(len(ws) - 9, 1) + 1), lambda i: array_to_string(ws[i:i + 9], ' '))) as g from b where len(ws) > 0),
 k as (select distinct k from i),
-t as (select doc_id, k, unnest(list_transform(range(1, len(ws) - k + 2), i -> {'p': i, 'g': array_to_string(ws[i:i + k - 1], ' ')})) as x from d, k where len(ws) >= k),
+t as (select doc_id, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: {'p': i, 'g': array_to_string(ws[i:i + k - 1], ' ')})) as x from d, k where len(ws) >= k),
 o as (select t.doc_id, t.k, t.x.p as p, i.item_id from t join i on i.k = t.k and i.g = t.x.g),
 h as (select doc_id, count(distinct q) as n_hit from (select doc_id, unnest(range(p, p + k)) as q from o) group by doc_id),
 m as (select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items from (select distinct doc_id, cast(item_id as varchar) as item from o) group by doc_id)
