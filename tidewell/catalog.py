@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from .plans import oracles
+from .plans import queries as plans
+
 
 def queries() -> dict:
-    return {}
+    return plans.queries()
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracles.oracle_sql()
