@@ -4,9 +4,9 @@ Shingles get one global order, rare ones first: by a corpus-wide count sketch of
 fixed size, ties by hash. Only the first few shingles of a document (those it
 must share with any partner) seek candidates. The candidates' shingle sets are cut
 into fragments, each fragment's overlap is counted separately, and the counts are
-summed per pair. Equal sets collapse into one class first. In each posting list a
-few leaders are compared with all others (rows linear in the list), and what those
-links join isn't compared again; pairs still apart are then all checked, in
+summed per pair. Equal sets collapse into one class first. In a few rounds each class
+tries its likeliest leader of the posting lists it is in (rows linear in the lists), and
+what those links join isn't compared again; pairs still apart are then all checked, in
 salted blocks, so that no link between components is missed.
 """
 
@@ -27,8 +27,8 @@ FRAGMENTS = 8
 BLOCK = 256
 #: Bits (as a power of two) of a set's parity sketch, by least size of the set.
 PARITY = ((2000, 12), (400, 10), (0, 8))
-#: Bijections that pick the leaders of a posting list, for each of the two rounds.
-MASKS = ((0, 0x5555555555555555, 0x3C3C3C3C3C3C3C3C), (0x66CC66CC66CC66CC, 0x0F0F0F0F33333333, 0x1E2D3C4B5A697887))
+#: Bijections that pick the two leaders of a posting list, for each round.
+MASKS = (0, 0x5555555555555555, 0x3C3C3C3C3C3C3C3C)
 
 
 def shingle_hashes(words: np.ndarray, k: int) -> np.ndarray:
@@ -50,16 +50,18 @@ def sketch_counts(docs: DataFrame, k: int) -> np.ndarray:
     """Counts of all documents' shingles, in SKETCH counters."""
 
     def run(batch):
-        total = np.zeros(SKETCH, np.int64)
+        total, held, size = np.zeros(SKETCH, np.int64), [], 0
         for _, words, _, _ in batch_words(batch, "text"):
-            total += np.bincount((s % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH) if len(s := shingle_hashes(words, k)) > SKETCH // 8 else _add(total, s)
+            held.append((shingle_hashes(words, k) % np.uint64(SKETCH)).astype(np.int64))
+            size += len(held[-1])
+            if size > SKETCH:
+                total += np.bincount(np.concatenate(held), minlength=SKETCH)
+                held, size = [], 0
+        if held:
+            total += np.bincount(np.concatenate(held), minlength=SKETCH)
         at = np.flatnonzero(total)
         return {"b": at.astype(np.int32), "c": total[at]}
 
-    def _add(total, s):
-        np.add.at(total, (s % np.uint64(SKETCH)).astype(np.int64), 1)
-        return 0
-
     rows = arrow_map(docs.select("text"), run, "b int, c long").groupBy("b").agg(F.sum("c").alias("c")).toArrow()
     out = np.zeros(SKETCH, np.int64)
     out[rows.column("b").to_numpy()] = rows.column("c").to_numpy()
@@ -117,18 +119,33 @@ def fragments(docs: DataFrame, sketch, k: int) -> DataFrame:
     return arrow_map(docs, run, "rep long, f int, part array<long>")
 
 
-def _verified(scratch: Scratch, pairs: DataFrame, classes: DataFrame, parts: DataFrame, num: int, den: int, name: str) -> DataFrame:
-    """Links among candidate pairs (x, y, nx, ny): by parity sketch first, then by fragment overlaps that sum to the threshold."""
-    sig = lambda c: classes.select(F.col("rep").alias(c), F.col("sig").alias(f"s{c}"))
-    seen = pairs.join(sig("x"), "x").join(sig("y"), "y").where(f"{num + den} * {_bits('sx', 'sy')} <= {den - num} * (nx + ny)").select("x", "y", "nx", "ny")
-    seen = small(scratch.keep(seen, f"pairs-{name}"))
-    x = parts.select(F.col("rep").alias("x"), "f", F.col("part").alias("px")).join(seen, "x")
-    y = parts.select(F.col("rep").alias("y"), "f", F.col("part").alias("py")).join(small(scratch.keep(seen.select("y").distinct(), f"ends-{name}")), "y", "left_semi")
+def _verified(scratch: Scratch, pairs: DataFrame, classes: DataFrame, docs: DataFrame, repeats: bool, sketch, k: int, num: int, den: int, name: str) -> DataFrame:
+    """Links among candidate pairs (x, y, nx, ny): those whose fragment overlaps sum to the threshold. Only their documents are cut."""
+    pairs = scratch.keep(pairs, f"pairs-{name}")
+    ends = pairs.select(F.col("x").alias("rep")).unionByName(pairs.select(F.col("y").alias("rep"))).distinct()
+    needed = scratch.keep(ends.join(classes, "rep").select("rep", F.col("first").alias("doc_id")), f"needed-{name}")
+    parts = fragments(docs.join(small(needed.select("doc_id").distinct()), "doc_id", "left_semi"), sketch, k)
+    # A document's id may be shared by other texts.
+    parts = scratch.keep(parts.join(small(needed.select("rep")), "rep", "left_semi"), f"parts-{name}")
+    if repeats:
+        parts = parts.dropDuplicates(["rep", "f"])
+    x = parts.select(F.col("rep").alias("x"), "f", F.col("part").alias("px")).join(small(pairs), "x")
+    y = parts.select(F.col("rep").alias("y"), "f", F.col("part").alias("py"))
     both = x.join(y, ["y", "f"]).select("x", "y", "nx", "ny", F.size(F.array_intersect("px", "py")).alias("common"))
     linked = both.groupBy("x", "y", "nx", "ny").agg(F.sum("common").alias("common")).where(f"{num + den} * common >= {num} * (nx + ny)")
     return scratch.keep(linked.select("x", "y"), f"links-{name}")
 
 
+def _best(scratch: Scratch, pairs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
+    """Of each class's candidate pairs (rep, lead, n, m) the one whose parity sketches differ least for the sizes, if they may be linked."""
+    sig = lambda c: classes.select(F.col("rep").alias(c), F.col("sig").alias(f"s_{c}"))
+    bits = F.expr(_bits("s_rep", "s_lead"))
+    seen = pairs.join(sig("rep"), "rep").join(sig("lead"), "lead").withColumn("bits", bits).where(f"{num + den} * bits <= {den - num} * (n + m)")
+    best = seen.groupBy("rep").agg(F.min(F.struct((F.col("bits") / (F.col("n") + F.col("m"))).alias("d"), "lead", "n", "m")).alias("b")).select("rep", "b.lead", "b.n", "b.m")
+    first = F.col("rep") < F.col("lead")
+    return best.select(F.least("rep", "lead").alias("x"), F.greatest("rep", "lead").alias("y"), F.when(first, F.col("n")).otherwise(F.col("m")).alias("nx"), F.when(first, F.col("m")).otherwise(F.col("n")).alias("ny")).distinct()
+
+
 def _bits(a: str, b: str) -> str:
     """Differing bits of two parity sketches, a lower bound of the sets' difference; 0 for sketches of unlike sizes."""
     return f"if(size({a}) = size({b}), aggregate(zip_with({a}, {b}, (p, q) -> bit_count(p ^ q)), 0, (s, z) -> s + z), 0)"
@@ -161,21 +178,15 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, k: int = 5, num: in
     entry = classes.select("rep", "n", F.posexplode("pre").alias("pos", "tok"))
     lists = entry.groupBy("tok").agg(F.count("*").alias("size")).where("size > 1")
     listed = scratch.keep(entry.join(lists, "tok").drop("size"), "listed")
-    needed = scratch.keep(listed.select("rep").distinct().join(classes, "rep").select(F.col("first").alias("doc_id")), "needed")
-    parts = fragments(docs.join(small(needed), "doc_id", "left_semi"), sketch, k)
-    if ids.groupBy("doc_id").count().where("count > 1").limit(1).count():
-        parts = parts.dropDuplicates(["rep", "f"])
-    parts = scratch.keep(parts, "parts")
-    links, label = None, listed.select("rep").distinct().withColumn("comp", F.col("rep"))
-    for turn, masks in enumerate(MASKS):
-        now = listed if links is None else scratch.keep(listed.join(label, "rep"), f"now{turn}")
-        if links is None:
-            now = now.withColumn("comp", F.col("rep"))
-        picks = [f(F.col("rep").bitwiseXOR(F.lit(m))).bitwiseXOR(F.lit(m)) for m in masks for f in (F.min, F.max)]
+    repeats = bool(ids.groupBy("doc_id").count().where("count > 1").limit(1).count())
+    links, label = None, None
+    for turn, mask in enumerate(MASKS):
+        now = listed.withColumn("comp", F.col("rep")) if label is None else scratch.keep(listed.join(label, "rep"), f"now{turn}")
+        picks = [f(F.col("rep").bitwiseXOR(F.lit(mask))).bitwiseXOR(F.lit(mask)) for f in (F.min, F.max)]
         lead = now.groupBy("tok").agg(F.array(*picks).alias("lead"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("tok", F.explode(F.array_distinct("lead")).alias("rep"))
         lead = lead.join(now, ["tok", "rep"])
-        pairs = lead.alias("a").join(now.alias("b"), F.expr(f"a.tok = b.tok and a.comp <> b.comp and {_near('a', 'b', num, den)}")).select(F.expr("least(a.rep, b.rep) x"), F.expr("greatest(a.rep, b.rep) y"), F.expr("if(a.rep < b.rep, a.n, b.n) nx"), F.expr("if(a.rep < b.rep, b.n, a.n) ny")).distinct()
-        found = _verified(scratch, pairs, classes, parts, num, den, str(turn))
+        pairs = lead.alias("a").join(now.alias("b"), F.expr(f"a.tok = b.tok and a.comp <> b.comp and {_near('a', 'b', num, den)}")).select("b.rep", F.col("a.rep").alias("lead"), "b.n", F.col("a.n").alias("m")).distinct()
+        found = _verified(scratch, _best(scratch, pairs, classes, num, den), classes, docs, repeats, sketch, k, num, den, str(turn))
         links = found if links is None else links.unionByName(found)
         label = scratch.keep(_label(scratch, links, listed, f"graph{turn}-"), f"label{turn}")
     now = listed.join(label, "rep")
@@ -185,7 +196,7 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, k: int = 5, num: in
     right = now.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
     near = f"{_near('a', 'b', num, den)} and {num + den} * {_bits('a.sig', 'b.sig')} <= {den - num} * (a.n + b.n)"
     pairs = left.alias("a").join(right.alias("b"), F.expr(f"a.tok = b.tok and a.salt = b.salt and a.rep < b.rep and a.comp <> b.comp and {near}")).select(F.expr("a.rep x"), F.expr("b.rep y"), F.expr("a.n nx"), F.expr("b.n ny")).distinct()
-    found = _verified(scratch, pairs, classes, parts, num, den, "rest")
+    found = _verified(scratch, pairs, classes, docs, repeats, sketch, k, num, den, "rest")
     label = _label(scratch, links.unionByName(found), listed, "graph-")
     labelled = classes.join(label, "rep", "left").select(F.col("rep").alias("k1"), "k2", "n", "first", F.coalesce("comp", "rep").alias("comp"))
     least = labelled.groupBy("comp").agg(F.min("first").alias("component_id"))
