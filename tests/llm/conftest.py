@@ -6,7 +6,7 @@ SF = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    built = SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8").config("spark.driver.memory", "6g").config("spark.sql.session.timeZone", "UTC").config("spark.ui.enabled", "false").getOrCreate()
+    built = SparkSession.builder.master("local[2]").config("spark.sql.shuffle.partitions", "8").config("spark.driver.memory", "6g").config("spark.sql.session.timeZone", "UTC").config("spark.ui.enabled", "false").getOrCreate()
     built.sparkContext.setLogLevel("ERROR")
     return built
 
