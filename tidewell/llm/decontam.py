@@ -13,14 +13,34 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, Scratch, ascii_lower, small
+from .common import BROADCAST_ROWS, Scratch, ascii_lower, let, small
 
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+# Between words: runs of ASCII characters that are neither letters nor digits, one by one, which the matcher looks up in a bit table.
+GAP = "[" + "".join(f"\\x{c:02X}" for c in range(128) if not chr(c).isalnum()) + "]+"
+
+
+def _edges(cut: Column) -> tuple[Column, Column]:
+    """1 where a cut text begins, and ends, with an empty string."""
+    return F.when(F.get(cut, F.lit(0)) == "", 1).otherwise(0), F.when(F.element_at(cut, -1) == "", 1).otherwise(0)
+
+
+def _counted(cut: Column) -> Column:
+    before, after = _edges(cut)
+    return F.greatest(F.size(cut) - before - after, F.lit(0))
+
+
+def _whole(cut: Column) -> Column:
+    before, after = _edges(cut)
+    return F.when(before + after == 0, cut).otherwise(F.slice(cut, before + 1, _counted(cut)))
 
 
 def words(text: Column) -> Column:
     """The words of a text, A-Z lower-cased; none for null."""
-    return F.regexp_extract_all(ascii_lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
+    return let(F.split(ascii_lower(F.coalesce(text, F.lit(""))), GAP, -1), _whole)
+
+
+def n_words(text: Column) -> Column:
+    return let(F.split(F.coalesce(text, F.lit("")), GAP, -1), _counted)
 
 
 def terms(text: Column) -> Column:
@@ -51,7 +71,8 @@ def build(scratch: Scratch, docs: DataFrame, benchmark: DataFrame, size: int = 1
     windows = cut.select("wid", "h").dropDuplicates(["wid"])
     offsets = windows.select("wid", F.posexplode("h").alias("o", "term"))
     vocabulary = scratch.keep(offsets.select("term").distinct(), "vocabulary")
-    tokens = docs.select(F.explode(words(F.col("text"))).alias("w")).select(F.xxhash64("w").alias("term"))
+    # Outer, or an inferred filter would cut every text twice.
+    tokens = docs.select(F.explode_outer(words(F.col("text"))).alias("w")).select(F.xxhash64("w").alias("term"))
     counts = scratch.keep(_blocks(vocabulary, lambda v: tokens.join(v, "term").groupBy("term").agg(F.count("*").alias("n"))), "counts")
     ranked = offsets.join(counts, "term", "left").groupBy("wid").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "o", "term"))).alias("r"))
     windows = scratch.keep(
@@ -61,7 +82,7 @@ def build(scratch: Scratch, docs: DataFrame, benchmark: DataFrame, size: int = 1
     anchors = windows.select(F.col("t1").alias("term"), F.lit(1).alias("f")).unionByName(windows.where("t2 is not null").select(F.col("t2").alias("term"), F.lit(0).alias("f")))
     anchors = scratch.keep(anchors.groupBy("term").agg(F.max("f").alias("f")), "anchors")
     hashed = docs.select("doc_id", F.xxhash64("text").alias("th"), terms(F.col("text")).alias("h"))
-    places = hashed.select("doc_id", "th", "h", F.posexplode("h").alias("pos", "term"))
+    places = hashed.select("doc_id", "th", "h", F.posexplode_outer("h").alias("pos", "term"))
     near = F.expr(f"if(f = 1, transform(sequence(1 - {size}, {size} - 1), k -> get(h, pos + k)), null)")
     postings = scratch.keep(_blocks(anchors, lambda a: places.join(a, "term").select("term", "doc_id", "th", "pos", near.alias("around"))), "postings")
     scratch.drop("vocabulary", "counts", "anchors")
@@ -131,7 +152,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, si
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     dirty = small(contaminated(spark, docs, benchmark, size))
-    base = docs.select("doc_id", F.xxhash64("text").alias("th"), F.size(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(WORD), F.lit(0))).cast("long").alias("n_words"))
+    base = docs.select("doc_id", F.xxhash64("text").alias("th"), n_words(F.col("text")).cast("long").alias("n_words"))
     none = F.array().cast("array<string>")
     return base.alias("d").join(dirty.alias("h"), F.expr("d.doc_id <=> h.doc_id and d.th = h.th"), "left").select(
         "d.doc_id",
