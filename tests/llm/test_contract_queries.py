@@ -219,3 +219,17 @@ def test_op10(spark, sf, docs):
         ids = [*library.encode(text or "", add_special_tokens=False).ids, 1]
         assert tuple(row) == (doc, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
         start += len(ids)
+
+
+@pytest.mark.parametrize("name", sorted(Q.oracle_sql()))
+def test_sql_says_the_same(spark, sf, name):
+    import duckdb
+
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"create view {t} as select * from '{sf}/{t}.parquet'")
+    want = con.execute(Q.oracle_sql()[name])
+    got = Q.queries()[name](spark, sf)
+    columns = [d[0] for d in want.description]
+    assert sorted(columns) == sorted(got.columns)
+    assert sorted(map(tuple, got.select(*columns).collect())) == sorted(want.fetchall())
