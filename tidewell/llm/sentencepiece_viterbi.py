@@ -175,15 +175,14 @@ def _within(piece: str, ranks: dict[str, int]):
                 yield part, ranks[part]
 
 
-def segment(strings: list[str], table: Table) -> list[list[int]]:
-    """Ids of each string's pieces; a character without a piece gives -1 less its code point."""
-    coded = [_codes(s) for s in strings]
-    lengths = np.array([len(c) for c in coded], np.int64)
+def segment(strings: list[str], table: Table) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the strings' pieces end to end, and where each string's begin; a character without a piece gives -1 less its code point."""
+    lengths = np.fromiter(map(len, strings), np.int64, len(strings))
     starts = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
-    codes = np.concatenate(coded) if len(strings) else np.zeros(0, np.uint64)
+    codes = _codes("".join(strings))
     total = len(codes)
     if not total:
-        return [[] for _ in strings]
+        return np.zeros(0, np.int64), np.zeros(len(strings) + 1, np.int64)
     edge = np.repeat(starts[1:], lengths)
     found, spanned = [], np.zeros(total + 1, np.int64)
     each = mix(codes + np.uint64(1))
@@ -205,15 +204,16 @@ def segment(strings: list[str], table: Table) -> list[list[int]]:
         first, step = cut[sizes == size], max(1, BLOCK // size)
         for lo in range(0, len(first), step):
             _advance(first[lo : lo + step], size, found, table, best, back)
-    ids, out = np.where(best >= 0, table.ids[best], -1 - codes.astype(np.int64)).tolist(), []
-    back = back.tolist()
-    for a, at in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
-        row = []
-        while at > a:
-            row.append(ids[at - 1])
-            at -= back[at - 1]
-        out.append(row[::-1])
-    return out
+    # All strings walk back at once, a piece a step.
+    last, at = np.zeros(total + 1, np.int64), starts[1:][lengths > 0] - 1
+    begin = starts[:-1][lengths > 0]
+    while len(at):
+        last[at + 1] = 1
+        at = at - back[at]
+        go = at >= begin
+        at, begin = at[go], begin[go]
+    ids = np.where(best >= 0, table.ids[best], -1 - codes.astype(np.int64))[last[1:] > 0]
+    return ids, np.cumsum(last)[starts]
 
 
 def _advance(first: np.ndarray, size: int, found: list[np.ndarray], table: Table, best: np.ndarray, back: np.ndarray) -> None:
@@ -278,18 +278,24 @@ class Codec:
                 out.append(self.vocabulary.unknown)
         return np.array(out, np.int32).tobytes()
 
+    def _cut(self, text: str) -> list[str]:
+        """The text's units; a plain word stands for itself after one space."""
+        if self.vocabulary.prefix and "  " not in text and SPACE not in text and text[:1] != " " and text[-1:] != " ":
+            return text.split(" ") if text else []
+        return units(text, self.vocabulary.prefix)
+
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids of each text; null and empty texts have none."""
-        cut = [units(t or "", self.vocabulary.prefix) for t in texts]
+        cut = [self._cut(t or "") for t in texts]
         if len(self.cache) > CACHE:
             self.old, self.cache = self.cache, {}
         new, size = [], 0
-        for u in {u for us in cut for u in us} - self.cache.keys():
+        for u in set().union(*cut) - self.cache.keys():
             if u in self.old:
                 self.cache[u] = self.old[u]
                 continue
             new.append(u)
-            size += len(u)
+            size += len(u) + 1
             if size > BLOCK:
                 self._solve(new)
                 new, size = [], 0
@@ -298,14 +304,23 @@ class Codec:
         return [np.frombuffer(b"".join(map(get, us)), np.int32) for us in cut]
 
     def _solve(self, new: list[str]) -> None:
-        """Spaces come last in the ranks: what follows takes the last of a run if it can, the rest merge among themselves."""
-        words = [u.lstrip(SPACE) for u in new]
-        blank = self._space_id()
-        for unit, word, ids in zip(new, words, segment([SPACE + w if w and u != w else w for u, w in zip(new, words, strict=True)], self.vocabulary.table), strict=True):
-            run = len(unit) - len(word) - (unit != word and word != "")
-            if ids and ids[0] == blank:
-                run, ids = run + 1, ids[1:]
-            self.cache[unit] = self._final([*self._run(run), *ids])
+        table, plain = self.vocabulary.table, [u for u in new if u[:2] != SPACE * 2]
+        ids, at = segment([u if u[:1] == SPACE or not self.vocabulary.prefix else SPACE + u for u in plain], table)
+        data, edges = ids.astype(np.int32).tobytes(), (4 * at).tolist()
+        for u, a, b in zip(plain, edges, edges[1:], strict=False):
+            self.cache[u] = data[a:b]
+        # Strings with characters that have no piece.
+        for i in np.unique(np.searchsorted(at, np.flatnonzero(ids < 0), "right") - 1).tolist():
+            self.cache[plain[i]] = self._final(ids[at[i] : at[i + 1]].tolist())
+        # Spaces come last in the ranks: what follows takes the last of a run if it can, the rest merge among themselves.
+        runs = [u for u in new if u[:2] == SPACE * 2]
+        words = [u.lstrip(SPACE) for u in runs]
+        ids, at = segment([SPACE + w if w else "" for w in words], table)
+        for i, (unit, word) in enumerate(zip(runs, words, strict=True)):
+            own, run = ids[at[i] : at[i + 1]].tolist(), len(unit) - len(word) - (word != "")
+            if own and own[0] == self._space_id():
+                run, own = run + 1, own[1:]
+            self.cache[unit] = self._final([*self._run(run), *own])
 
     def _space_id(self) -> int:
         at = int(self.vocabulary.table.probe(mix(np.array([_raw_hash(SPACE) + np.uint64(1)])))[0])
