@@ -60,8 +60,9 @@ class Bayes:
         for text in texts:
             total, n = np.zeros(len(self.langs)), 0
             for part in pieces(text or ""):
-                at, count = np.unique(part, return_counts=True)
-                total += count @ self.logs[at]
+                count = np.bincount(part, minlength=BUCKETS)
+                at = np.flatnonzero(count)
+                total += count[at] @ self.logs[at]
                 n += len(part)
             if not n or not self.langs:
                 names.append("und")
