@@ -4,7 +4,7 @@ Shingles get one global order, rare ones first: by a corpus-wide count sketch of
 fixed size, ties by hash. Only the first few shingles of a document (those it
 must share with any partner) seek candidates. The candidates' shingle sets are cut
 into fragments, each fragment's overlap is counted separately, and the counts are
-summed per pair. Equal sets collapse into one class first. In a few rounds each class
+summed per pair. Equal sets collapse into one class first. In two rounds each class
 tries its likeliest leader of the posting lists it is in (rows linear in the lists), and
 what those links join isn't compared again; pairs still apart are then all checked, in
 salted blocks, so that no link between components is missed.
@@ -22,13 +22,13 @@ from .components import components
 #: Counters of the sketch behind the global order.
 SKETCH = 1 << 20
 #: Fragments of the global order.
-FRAGMENTS = 8
+FRAGMENTS = 4
 #: Longer posting lists are salted into blocks of about this many members.
 BLOCK = 256
 #: Bits (as a power of two) of a set's parity sketch, by least size of the set.
-PARITY = ((2000, 12), (400, 10), (0, 8))
+PARITY = ((8000, 14), (2000, 12), (64, 10), (0, 8))
 #: Bijections that pick the two leaders of a posting list, for each round.
-MASKS = (0, 0x5555555555555555, 0x3C3C3C3C3C3C3C3C)
+MASKS = (0, 0x5555555555555555)
 
 
 def shingle_hashes(words: np.ndarray, k: int) -> np.ndarray:
@@ -133,7 +133,9 @@ def _verified(scratch: Scratch, pairs: DataFrame, classes: DataFrame, docs: Data
     y = parts.select(F.col("rep").alias("y"), "f", F.col("part").alias("py"))
     both = x.join(y, ["y", "f"]).select("x", "y", "nx", "ny", F.size(F.array_intersect("px", "py")).alias("common"))
     linked = both.groupBy("x", "y", "nx", "ny").agg(F.sum("common").alias("common")).where(f"{num + den} * common >= {num} * (nx + ny)")
-    return scratch.keep(linked.select("x", "y"), f"links-{name}")
+    links = scratch.keep(linked.select("x", "y"), f"links-{name}")
+    scratch.drop(f"pairs-{name}", f"needed-{name}", f"parts-{name}")
+    return links
 
 
 def _best(scratch: Scratch, pairs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
