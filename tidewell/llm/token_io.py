@@ -42,8 +42,10 @@ _FOOT_BYTES = 64 + len(MAGIC)
 SHARD_BYTES = 64 << 20
 #: Documents the dictionary is trained on at most, and its size.
 SAMPLE, DICTIONARY = 2_000, 64 << 10
-#: Entries in each of the two generations of a worker's caches.
-CACHE = 150_000
+#: Entries in each of the two generations of a worker's cache.
+CACHE = 400_000
+#: Pieces given to the library at once.
+BLOCK = 20_000
 _GAPS = re.compile("[ \t\r\n]+")
 _CONTROL = re.compile("[\x1c-\x1f]")
 # Runs of lower-case Latin letters, and of ASCII signs and digits without the apostrophe, which may start a contraction.
@@ -58,14 +60,19 @@ class Remembered:
     def __init__(self, limit: int = CACHE):
         self.limit, self.young, self.old = limit, {}, {}
 
-    def missing(self, keys: set[str]) -> list[str]:
-        """Keys not known; known ones of the older generation move to the younger."""
+    def turn(self) -> None:
         if len(self.young) > self.limit:
             self.old, self.young = self.young, {}
-        new = keys - self.young.keys()
-        for k in new & self.old.keys():
-            self.young[k] = self.old[k]
-        return sorted(new - self.young.keys())
+
+    def missing(self, keys: set[str]) -> list[str]:
+        """Keys not known; known ones of the older generation move to the younger."""
+        out = []
+        for k in keys.difference(self.young):  # looks keys up; a view's difference would walk the dictionary
+            if k in self.old:
+                self.young[k] = self.old[k]
+            else:
+                out.append(k)
+        return out
 
 
 class Encoder:
@@ -83,10 +90,17 @@ class Encoder:
 
         self.tokenizer, self.whole = Tokenizer.from_file(path), whole
         self.end = b"" if end is None else np.array([end], "<u4").tobytes()
-        self.pieces, self.runs = Remembered(), Remembered()
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        self.known = Remembered()
+
+    def _ids(self, pieces: list[str]) -> Iterator[bytes]:
+        """Ids of each piece; many pieces make one encoding, which says what piece a token is of."""
+        for lo in range(0, len(pieces), BLOCK):
+            some = pieces[lo : lo + BLOCK]
+            made = self.tokenizer.encode(some, is_pretokenized=True, add_special_tokens=False)
+            edges = (4 * np.searchsorted(np.array(made.word_ids, np.int64), np.arange(len(some) + 1))).tolist()
+            data = array("I", made.ids).tobytes()
+            for a, b in zip(edges, edges[1:], strict=False):
+                yield data[a:b]
 
     @staticmethod
     def _split(text: str) -> list[str]:
@@ -98,16 +112,17 @@ class Encoder:
         """Little-endian uint32 ids of each text with the end id; null counts as empty."""
         if self.whole:
             for text in texts:
-                yield self._ids([text or ""])[0] + self.end
+                yield array("I", self.tokenizer.encode(text or "", add_special_tokens=False).ids).tobytes() + self.end
             return
+        self.known.turn()
         cut = [self._split(t or "") for t in texts]
-        parts = {p: _RUNS.findall(p) if "<|" not in p and _PLAIN.fullmatch(p) else [p] for p in self.pieces.missing(set().union(*cut))}
-        new = self.runs.missing({r for rs in parts.values() for r in rs})
-        known = self.runs.young
-        known.update(zip(new, self._ids(new), strict=True))
-        ids = self.pieces.young
+        parts = {p: _RUNS.findall(p) if "<|" not in p and _PLAIN.fullmatch(p) else [p] for p in self.known.missing(set().union(*cut))}
+        new = self.known.missing({r for rs in parts.values() for r in rs})
+        ids = self.known.young
+        ids.update(zip(new, self._ids(new), strict=True))
         for piece, runs in parts.items():
-            ids[piece] = b"".join([known[r] for r in runs])
+            if len(runs) > 1:
+                ids[piece] = b"".join([ids[r] for r in runs])
         for pieces in cut:
             yield b"".join(map(ids.__getitem__, pieces)) + self.end
 
