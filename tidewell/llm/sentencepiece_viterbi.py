@@ -290,7 +290,7 @@ class Codec:
         if len(self.cache) > CACHE:
             self.old, self.cache = self.cache, {}
         new, size = [], 0
-        for u in set().union(*cut) - self.cache.keys():
+        for u in set().union(*cut).difference(self.cache):
             if u in self.old:
                 self.cache[u] = self.old[u]
                 continue
