@@ -118,6 +118,22 @@ def test_snapshots_replace_only_themselves(spark, tmp_path):
     assert [r["h"] for r in s.snapshots("gold", "incident_signals").collect()] == [2, 2]
 
 
+def test_merges(spark, tmp_path):
+    s = stores.Store(spark, str(tmp_path))
+    rows = lambda *r: spark.createDataFrame(r, "k int, v string")
+    s.create("ops", "pipeline_runs", rows((0, "x")))
+    s.create("ops", "pipeline_runs", rows((0, "x")))
+    assert s.read("ops", "pipeline_runs").count() == 0
+    s.insert_only(rows((1, "a"), (2, "b")), "ops", "pipeline_runs", ["k"])
+    s.insert_only(rows((2, "c"), (3, "d")), "ops", "pipeline_runs", ["k"])
+    s.update_only(rows((3, "e"), (4, "f")), "ops", "pipeline_runs", ["k"])
+    assert sorted(map(tuple, s.read("ops", "pipeline_runs").collect())) == [(1, "a"), (2, "b"), (3, "e")]
+    s.replace(rows((9, "z")), "ops", "pipeline_runs")
+    assert [tuple(r) for r in s.read("ops", "pipeline_runs").collect()] == [(9, "z")]
+    with pytest.raises(ValueError):
+        s.path("ops", "nothing")
+
+
 def test_jobs_end_to_end(spark, tmp_path):
     from tidewell.plans import snapshots
     from tidewell.sources import batch, generate

@@ -40,15 +40,12 @@ class Store:
         files, where = self._fs(self.path(layer, name))
         return files.exists(where) and len(files.listStatus(where)) > 0
 
-    def create(self, layer: str, name: str, like: DataFrame, partition: str | None = None) -> None:
+    def create(self, layer: str, name: str, like: DataFrame) -> None:
         """An empty table if there is none."""
         if not self.exists(layer, name):
-            if partition:
-                like = like.drop(partition)
-                return like.limit(0).write.parquet(f"{self.path(layer, name)}/{partition}=__HIVE_DEFAULT_PARTITION__")
             like.limit(0).write.parquet(self.path(layer, name))
 
-    def read(self, layer: str, name: str, partition: str | None = None) -> DataFrame:
+    def read(self, layer: str, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(layer, name))
 
     def insert_only(self, rows: DataFrame, layer: str, name: str, keys: list[str]) -> None:
