@@ -27,6 +27,8 @@ FRAGMENTS = 4
 BLOCK = 256
 #: Bits (as a power of two) of a set's parity sketch, by least size of the set.
 PARITY = ((8000, 14), (2000, 12), (64, 10), (0, 8))
+#: Rounds over the pairs that are left, and how few of them are all verified at once.
+REST_ROUNDS, REST_PAIRS = 3, 2_000
 #: Bijections that pick the two leaders of a posting list, for each round.
 MASKS = (0, 0x5555555555555555)
 
@@ -197,9 +199,23 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, k: int = 5, num: in
     left = now.withColumn("salt", F.expr("cast(pmod(xxhash64(rep), salts) as int)"))
     right = now.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
     near = f"{_near('a', 'b', num, den)} and {num + den} * {_bits('a.sig', 'b.sig')} <= {den - num} * (a.n + b.n)"
-    pairs = left.alias("a").join(right.alias("b"), F.expr(f"a.tok = b.tok and a.salt = b.salt and a.rep < b.rep and a.comp <> b.comp and {near}")).select(F.expr("a.rep x"), F.expr("b.rep y"), F.expr("a.n nx"), F.expr("b.n ny")).distinct()
-    found = _verified(scratch, pairs, classes, docs, repeats, sketch, k, num, den, "rest")
-    label = _label(scratch, links.unionByName(found), listed, "graph-")
+    pairs = left.alias("a").join(right.alias("b"), F.expr(f"a.tok = b.tok and a.salt = b.salt and a.rep < b.rep and a.comp <> b.comp and {near}")).select(F.expr("a.rep x"), F.expr("b.rep y"), F.expr("a.n nx"), F.expr("b.n ny"), F.expr(f"{_bits('a.sig', 'b.sig')} / (a.n + b.n) d")).distinct()
+    rest = scratch.keep(pairs, "rest")
+    for turn in range(REST_ROUNDS):
+        comp = lambda c: label.select(F.col("rep").alias(c), F.col("comp").alias(f"c{c}"))  # noqa: E731, B023
+        rest = scratch.keep(rest.join(comp("x"), "x").join(comp("y"), "y").where("cx <> cy").select("x", "y", "nx", "ny", "d", F.least("cx", "cy").alias("a"), F.greatest("cx", "cy").alias("b")), f"rest{turn}")
+        few = rest.limit(REST_PAIRS + 1).count()
+        if not few:
+            break
+        last = turn == REST_ROUNDS - 1 or few <= REST_PAIRS
+        # The likeliest pair of each two components, and all that are left in the end.
+        tried = rest if last else rest.groupBy("a", "b").agg(F.min(F.struct("d", "x", "y", "nx", "ny")).alias("p")).select("p.*")
+        tried = tried.select("x", "y", "nx", "ny")
+        links = links.unionByName(_verified(scratch, tried, classes, docs, repeats, sketch, k, num, den, f"rest{turn}"))
+        label = scratch.keep(_label(scratch, links, listed, f"graph-{turn}-"), f"label-{turn}")
+        if last:
+            break
+        rest = rest.join(tried.select("x", "y"), ["x", "y"], "left_anti").drop("a", "b")
     labelled = classes.join(label, "rep", "left").select(F.col("rep").alias("k1"), "k2", "n", "first", F.coalesce("comp", "rep").alias("comp"))
     least = labelled.groupBy("comp").agg(F.min("first").alias("component_id"))
     member = scratch.keep(labelled.join(least, "comp").select("k1", "k2", "n", "component_id"), "member")
