@@ -17,6 +17,7 @@ Flag 1: ids are stored as uint32 instead of uint16. Flag 2: the doc_id is null.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import os
 import re
@@ -32,7 +33,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, arrow_map, pa_schema, shared_dir
+from .common import Scratch, arrow_map, pa_schema, shared_dir, slices, utf8
 
 MAGIC = b"TWTOKEN1"
 INDEX = np.dtype([("doc_id", "<i8"), ("offset", "<u8"), ("bytes", "<u4"), ("ids", "<u4"), ("flags", "<u4")])
@@ -115,16 +116,21 @@ class Encoder:
                 yield array("I", self.tokenizer.encode(text or "", add_special_tokens=False).ids).tobytes() + self.end
             return
         self.known.turn()
+        ids = self.known.young
         cut = [self._split(t or "") for t in texts]
-        parts = {p: _RUNS.findall(p) if "<|" not in p and _PLAIN.fullmatch(p) else [p] for p in self.known.missing(set().union(*cut))}
+        found = [list(map(ids.get, pieces)) for pieces in cut]
+        holes = [(pieces, values) for pieces, values in zip(cut, found, strict=True) if None in values]
+        missing = {p for pieces, values in holes for p, v in zip(pieces, values, strict=True) if v is None}
+        parts = {p: _RUNS.findall(p) if "<|" not in p and _PLAIN.fullmatch(p) else [p] for p in self.known.missing(missing)}
         new = self.known.missing({r for rs in parts.values() for r in rs})
-        ids = self.known.young
         ids.update(zip(new, self._ids(new), strict=True))
         for piece, runs in parts.items():
             if len(runs) > 1:
                 ids[piece] = b"".join([ids[r] for r in runs])
-        for pieces in cut:
-            yield b"".join(map(ids.__getitem__, pieces)) + self.end
+        for pieces, values in holes:
+            values[:] = map(ids.__getitem__, pieces)
+        for values in found:
+            yield b"".join(values) + self.end
 
 
 #: The encoder a worker used last; its remembered pieces serve the tasks that follow.
@@ -243,12 +249,11 @@ def write_tokens(spark: SparkSession, docs: DataFrame, path: str, tokenizer: str
         shared = zstandard.ZstdCompressionDict(sent.value) if sent.value else None
         squeeze = zstandard.ZstdCompressor(level=3, dict_data=shared, write_checksum=False)
         for batch in batches:
-            ids = batch.column("doc_id")
-            for lo in range(0, batch.num_rows, 256):
-                out = {"doc_id": ids.slice(lo, 256), "shard": [], "n": [], "wide": [], "frame": []}
-                for doc_id, raw in zip(out["doc_id"].to_pylist(), encoder.encode(batch.column("text").slice(lo, 256).to_pylist()), strict=True):
+            for lo, hi in slices(utf8(batch.column("text"))[0]):
+                out = {"doc_id": batch.column("doc_id").slice(lo, hi - lo), "shard": [], "n": [], "wide": [], "frame": []}
+                for doc_id, raw in zip(out["doc_id"].to_pylist(), encoder.encode(batch.column("text").slice(lo, hi - lo).to_pylist()), strict=True):
                     packed, wide = _packed(raw)
-                    out["shard"].append(0 if doc_id is None else int(np.searchsorted(cuts, doc_id, "right")))
+                    out["shard"].append(0 if doc_id is None else bisect.bisect_right(cuts, doc_id))
                     out["n"].append(len(raw) // 4)
                     out["wide"].append(wide)
                     out["frame"].append(squeeze.compress(packed))
