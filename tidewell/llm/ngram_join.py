@@ -27,6 +27,8 @@ FRAGMENTS = 4
 BLOCK = 256
 #: Bits (as a power of two) of a set's parity sketch, by least size of the set.
 PARITY = ((8000, 14), (2000, 12), (64, 10), (0, 8))
+#: Posting lists of at most so many members pair before they fetch sketches.
+SHORT = 64
 #: Rounds over the pairs that are left, and how few of them are all verified at once.
 REST_ROUNDS, REST_PAIRS = 3, 2_000
 #: Bijections that pick the two leaders of a posting list, for each round.
@@ -194,12 +196,20 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, k: int = 5, num: in
         links = found if links is None else links.unionByName(found)
         label = scratch.keep(_label(scratch, links, listed, f"graph{turn}-"), f"label{turn}")
     now = listed.join(label, "rep")
-    open_ = now.groupBy("tok").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m")).where("lo < hi").select("tok", F.expr(f"cast(1 + m div {BLOCK} as int) salts"))
-    now = scratch.keep(now.join(open_, "tok").join(classes.select("rep", "sig"), "rep"), "open")
-    left = now.withColumn("salt", F.expr("cast(pmod(xxhash64(rep), salts) as int)"))
-    right = now.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+    open_ = now.groupBy("tok").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m")).where("lo < hi").select("tok", "m", F.expr(f"cast(1 + m div {BLOCK} as int) salts"))
+    now = scratch.keep(now.join(open_, "tok"), "open")
+    pair = [F.expr(e) for e in ("a.rep x", "b.rep y", "a.n nx", "b.n ny")]
+    sig = lambda c: classes.select(F.col("rep").alias(c), F.col("sig").alias(f"s{c}"))
+    # Short lists pair first, and the few pairs of like sizes then fetch their sketches; long lists carry the sketches and are salted.
+    short = now.where(f"m <= {SHORT}")
+    short = short.alias("a").join(short.alias("b"), F.expr(f"a.tok = b.tok and a.rep < b.rep and a.comp <> b.comp and {_near('a', 'b', num, den)}")).select(*pair).distinct()
+    short = short.join(sig("x"), "x").join(sig("y"), "y").where(f"{num + den} * {_bits('sx', 'sy')} <= {den - num} * (nx + ny)").select("x", "y", "nx", "ny", F.expr(f"{_bits('sx', 'sy')} / (nx + ny) d"))
+    long = now.where(f"m > {SHORT}").join(classes.select("rep", "sig"), "rep")
+    left = long.withColumn("salt", F.expr("cast(pmod(xxhash64(rep), salts) as int)"))
+    right = long.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
     near = f"{_near('a', 'b', num, den)} and {num + den} * {_bits('a.sig', 'b.sig')} <= {den - num} * (a.n + b.n)"
-    pairs = left.alias("a").join(right.alias("b"), F.expr(f"a.tok = b.tok and a.salt = b.salt and a.rep < b.rep and a.comp <> b.comp and {near}")).select(F.expr("a.rep x"), F.expr("b.rep y"), F.expr("a.n nx"), F.expr("b.n ny"), F.expr(f"{_bits('a.sig', 'b.sig')} / (a.n + b.n) d")).distinct()
+    long = left.alias("a").join(right.alias("b"), F.expr(f"a.tok = b.tok and a.salt = b.salt and a.rep < b.rep and a.comp <> b.comp and {near}")).select(*pair, F.expr(f"{_bits('a.sig', 'b.sig')} / (a.n + b.n) d"))
+    pairs = short.unionByName(long).distinct()
     rest = scratch.keep(pairs, "rest")
     for turn in range(REST_ROUNDS):
         comp = lambda c: label.select(F.col("rep").alias(c), F.col("comp").alias(f"c{c}"))  # noqa: E731, B023
