@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 400_000
 #: Bytes of text hashed at once; bounds the memory of a Python worker.
 CHUNK = 1 << 20
+#: Most rows in an Arrow batch.
+BATCH_ROWS = 1_000
 
 _own_dirs: dict[str, str] = {}
 
@@ -214,9 +216,17 @@ def batch_words(batch: pa.RecordBatch, column: str, lower: bool = True) -> Itera
             yield lo + i, hashes[a:b], places[a:b] - starts[i], data[base + starts[i] : base + starts[i + 1]]
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound the rows that travel to a Python worker at once, so that batches of long texts fit in memory on both sides."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, BATCH_ROWS)
+
+
 def arrow_map(df: DataFrame, run, schema: str) -> DataFrame:
     """``mapInArrow`` where ``run(batch)`` gives a dict of columns in the schema's order."""
     kind = pa_schema(df.sparkSession, schema)
+    small_batches(df.sparkSession)
 
     def each(batches):
         for batch in batches:
@@ -226,6 +236,13 @@ def arrow_map(df: DataFrame, run, schema: str) -> DataFrame:
     return df.mapInArrow(each, schema)
 
 
+def arrow_fold(df: DataFrame, run, schema: str) -> DataFrame:
+    """``mapInArrow`` where ``run(batches)`` reads all of a task's batches and gives one dict of columns."""
+    kind = pa_schema(df.sparkSession, schema)
+    small_batches(df.sparkSession)
+    return df.mapInArrow(lambda batches: [pa.RecordBatch.from_pydict(run(b for b in batches if b.num_rows), schema=kind)], schema)
+
+
 def pa_schema(spark: SparkSession, ddl: str) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType

@@ -13,7 +13,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_map
+from .common import arrow_fold, arrow_map
 
 #: Hash buckets of the n-grams of 1 to 3 characters.
 BUCKETS = 1 << 15
@@ -86,16 +86,16 @@ def train(docs: DataFrame, sample: int = 12_000, smooth: float = 0.1) -> Bayes:
     picked = rows.select("doc_id").withColumn("_h", F.xxhash64("doc_id")).orderBy("_h", "doc_id").limit(sample).select(F.col("doc_id").alias("_id")).distinct()
     rows = rows.join(F.broadcast(picked), F.col("doc_id") == F.col("_id"), "left_semi").select("text", "lang")
 
-    def run(batch):
+    def run(batches):
         counts: dict[str, np.ndarray] = {}
-        for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist(), strict=True):
+        for text, lang in (row for b in batches for row in zip(b.column("text").to_pylist(), b.column("lang").to_pylist(), strict=True)):
             total = counts.setdefault(lang, np.zeros(BUCKETS, np.int64))
             for part in pieces(text):
                 total += np.bincount(part, minlength=BUCKETS)
         out = [(lang, b, int(c[b])) for lang, c in counts.items() for b in np.flatnonzero(c).tolist()]
         return {k: [x[i] for x in out] for i, k in enumerate(("lang", "b", "c"))}
 
-    counts = arrow_map(rows, run, "lang string, b int, c long").groupBy("lang", "b").agg(F.sum("c").alias("c")).toPandas()
+    counts = arrow_fold(rows, run, "lang string, b int, c long").groupBy("lang", "b").agg(F.sum("c").alias("c")).toPandas()
     langs = sorted(counts["lang"].unique())
     table = np.full((BUCKETS, len(langs)), smooth)
     table[counts["b"].to_numpy(int), np.searchsorted(langs, counts["lang"].to_numpy(str)) if langs else []] += counts["c"].to_numpy(float)

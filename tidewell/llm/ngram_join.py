@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, arrow_map, batch_words, mix, small
+from .common import Scratch, arrow_fold, arrow_map, batch_words, mix, small
 from .components import components
 
 #: Counters of the sketch behind the global order.
@@ -53,9 +53,9 @@ def _prefix(n: int, num: int, den: int) -> int:
 def sketch_counts(docs: DataFrame, k: int) -> np.ndarray:
     """Counts of all documents' shingles, in SKETCH counters."""
 
-    def run(batch):
+    def run(batches):
         total, held, size = np.zeros(SKETCH, np.int64), [], 0
-        for _, words, _, _ in batch_words(batch, "text"):
+        for _, words, _, _ in (row for batch in batches for row in batch_words(batch, "text")):
             held.append((shingle_hashes(words, k) % np.uint64(SKETCH)).astype(np.int64))
             size += len(held[-1])
             if size > SKETCH:
@@ -66,7 +66,7 @@ def sketch_counts(docs: DataFrame, k: int) -> np.ndarray:
         at = np.flatnonzero(total)
         return {"b": at.astype(np.int32), "c": total[at]}
 
-    rows = arrow_map(docs.select("text"), run, "b int, c long").groupBy("b").agg(F.sum("c").alias("c")).toArrow()
+    rows = arrow_fold(docs.select("text"), run, "b int, c long").groupBy("b").agg(F.sum("c").alias("c")).toArrow()
     out = np.zeros(SKETCH, np.int64)
     out[rows.column("b").to_numpy()] = rows.column("c").to_numpy()
     return np.minimum(out, (1 << 24) - 1).astype(np.uint32)

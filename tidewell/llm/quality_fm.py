@@ -13,7 +13,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_map, batch_words
+from .common import arrow_map, batch_words, small_batches
 
 #: Hash buckets of the words.
 WORDS = 1 << 14
@@ -157,4 +157,5 @@ def score(spark: SparkSession, docs: DataFrame, machine: Machine, keep: float |
             if batch.num_rows:
                 yield batch.filter(pa.array(scores(batch) >= keep))
 
+    small_batches(spark)
     return docs.mapInArrow(each, docs.schema)

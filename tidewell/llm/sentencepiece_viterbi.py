@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import mix, pa_schema, slices, utf8
+from .common import mix, pa_schema, slices, small_batches, utf8
 
 SPACE = "▁"
 #: Code points of distinct strings solved at once.
@@ -396,6 +396,7 @@ def _coded(spark: SparkSession, docs: DataFrame, path: str, ddl: str, columns) -
     vocabulary = Pieces.load(path)
     vocabulary.table  # built once, here
     sent, kind = spark.sparkContext.broadcast(vocabulary), pa_schema(spark, ddl)
+    small_batches(spark)
 
     def each(batches):
         codec = _codec(path, sent.value)

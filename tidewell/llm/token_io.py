@@ -33,7 +33,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, arrow_map, pa_schema, shared_dir, slices, utf8
+from .common import Scratch, arrow_map, pa_schema, shared_dir, slices, small_batches, utf8
 
 MAGIC = b"TWTOKEN1"
 INDEX = np.dtype([("doc_id", "<i8"), ("offset", "<u8"), ("bytes", "<u4"), ("ids", "<u4"), ("flags", "<u4")])
@@ -243,6 +243,7 @@ def write_tokens(spark: SparkSession, docs: DataFrame, path: str, tokenizer: str
     cuts = docs.agg(F.percentile_approx("doc_id", [i / shards for i in range(1, shards)], 100 * int(shards)).alias("q")).first()["q"] or [] if shards > 1 else []
     cuts = sorted(set(cuts))
     sent = spark.sparkContext.broadcast(dictionary)
+    small_batches(spark)
 
     def encoded(batches):
         encoder = _encoder(tokenizer, end, whole)
