@@ -143,6 +143,18 @@ def test_secrets(spark, odd, empty):
     assert secrets.redact(spark, odd).columns == odd.columns and secrets.redact(spark, odd).count() == N
 
 
+def test_secret_of_one_owner_in_many_documents(spark):
+    """A value of one or two owners is theirs in however many documents it stands; the third owner makes it a copy."""
+    one, two, three = ("ghp_" + c * 3 + "aB3dE6gH9" * 4 for c in "xyz")
+    rows = [(i, f"{one} {two} {three}" if i < 2 else one, f"s{i % 2}" if i < 2 else "s0") for i in range(1000)]
+    rows = [(i, t.replace(one, "") if s == "s1" else t, s) for i, t, s in rows] + [(1000, three, "s2")]
+    docs = spark.createDataFrame([(i, t, s, len(t)) for i, t, s in rows], "doc_id long, text string, source string, n_chars long")
+    judged = {(r["value"], r["n_owners"], r["n_repos"], r["live"]) for r in secrets.scan(spark, docs)[1].collect()}
+    assert judged == {(one, 1, 999, True), (two, 2, 2, True), (three, 3, 3, False)}
+    clean = "".join(r["text"] for r in secrets.redact(spark, docs).collect())
+    assert one not in clean and two not in clean and three in clean
+
+
 def test_decontam(spark, odd, empty):
     bench = spark.createDataFrame([(1, "one two three four five six seven eight nine ten eleven"), (2, "word"), (3, None), (4, ""), (None, "a b"), (5, "ÉÉ 日本語")], "item_id long, text string")
     more = odd.unionByName(spark.createDataFrame([(50, "x ONE two,three four five six seven eight nine ten eleven word")], "doc_id long, text string"), allowMissingColumns=True)

@@ -23,8 +23,8 @@ KINDS = (
     ("private_key", r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----", 0, 20, "PRIVATE KEY-----"),
 )
 BASE = 3
-#: From so many owners or repositories on a candidate counts as widely copied.
-COPIED_OWNERS, COPIED_REPOS = 3, 20
+#: From so many owners on a candidate counts as widely copied, however many repositories of an owner hold it.
+COPIED_OWNERS = 3
 #: Distinct characters a live-looking value has at least.
 LIVE_CHARS = 6
 
@@ -67,7 +67,7 @@ def ownership(found: DataFrame) -> DataFrame:
 def scan(spark: SparkSession, docs: DataFrame, owner: str = "source", repo: str = "doc_id") -> tuple[DataFrame, DataFrame]:
     """Rows with their spans (``candidates``), and judged candidates: row, doc_id, start, end, kind, value, n_owners, n_repos, live.
 
-    A candidate is live if few owners and repositories hold its value and the value has enough distinct characters. Private key headers
+    A candidate is live if few owners hold its value, in however many of their repositories, and the value has enough distinct characters. Private key headers
     are always live: their text is common, the key after it isn't.
     """
     scratch = Scratch(spark)
@@ -76,7 +76,7 @@ def scan(spark: SparkSession, docs: DataFrame, owner: str = "source", repo: str
     found = found.withColumn("hash", F.sha2(F.col("value").cast("binary"), 256))
     held = scratch.keep(ownership(found), "ownership")
     judged = found.join(small(held), "hash")
-    few = (F.col("n_owners") < COPIED_OWNERS) & (F.col("n_repos") < COPIED_REPOS) & (F.size(F.array_distinct(F.split("value", ""))) >= LIVE_CHARS)
+    few = (F.col("n_owners") < COPIED_OWNERS) & (F.size(F.array_distinct(F.split("value", ""))) >= LIVE_CHARS)
     return rows, judged.withColumn("live", few | (F.col("kind") == len(KINDS) - 1)).drop("hash")
 
 
