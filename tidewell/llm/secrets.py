@@ -12,6 +12,15 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, let, small
 
+# A private key: header, lines such as Proc-Type, and the body, which is the value: up to the footer of the same label if only an encoded key's characters,
+# not mere words, stand there or a long piece begins it; else the run of long pieces. A quoted header or footer alone is none. Possessive loops: linear time.
+_B, _BETWEEN = "[A-Za-z0-9+/]", r"""[\s\\"',>#*|]"""
+_SKIP = rf"(?:\\[nrt]|{_BETWEEN})"
+_LINES = rf"(?:(?:Proc-Type:\x20*[0-9],[A-Z]++|DEK-Info:\x20*[A-Z0-9-]++,[0-9A-Fa-f]++|[A-Z][A-Za-z-]{{1,30}}:\x20[^\r\n\\]*+){_SKIP}++)*+"
+_FOOTER = r"-----END \1PRIVATE KEY-----"
+_BODY = rf"""(?=[A-Za-z0-9+/=\s\\"',>#*|]++{_FOOTER})(?=[^-]*?(?:{_B}{{16}}|[0-9]))[^-]++|(?={_B}{{20}})(?:[^-]++|-(?!----))++(?={_FOOTER})|{_B}{{20,}}+(?:{_SKIP}++(?:\+{_SKIP}++)?+{_B}{{20,}}+)*+(?:{_SKIP}++{_B}{{1,19}}+(?=[=\r\n"'`<\\]|[\x20\t]*+$))?+={{0,2}}"""
+_PRIVATE_KEY = rf"-----BEGIN ([A-Z ]{{0,20}})PRIVATE KEY-----{_SKIP}*+{_LINES}({_BODY})(?:{_FOOTER})?"
+
 # Kinds in order: name, pattern, group of the value, least length of the value, cheap test of the text. Fixed values; the first three are the base kinds.
 KINDS = (
     ("assign", r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 1, 12, r"""[pPsStTaA](?i:assword|asswd|ecret|oken|pi_?key)["']?\x20*[:=]"""),
@@ -20,7 +29,7 @@ KINDS = (
     ("github", r"(?<![A-Za-z0-9_])gh[pousr]_[A-Za-z0-9]{20,}+", 0, 24, "gh[pousr]_"),
     ("slack", r"(?<![A-Za-z0-9])xox[abprs]-[A-Za-z0-9-]{10,}+", 0, 15, "xox[abprs]-"),
     ("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+", 0, 30, "eyJ"),
-    ("private_key", r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----", 0, 20, "PRIVATE KEY-----"),
+    ("private_key", _PRIVATE_KEY, 2, 20, "PRIVATE KEY-----"),
 )
 BASE = 3
 #: From so many owners on a candidate counts as widely copied, however many repositories of an owner hold it.
@@ -67,17 +76,18 @@ def ownership(found: DataFrame) -> DataFrame:
 def scan(spark: SparkSession, docs: DataFrame, owner: str = "source", repo: str = "doc_id") -> tuple[DataFrame, DataFrame]:
     """Rows with their spans (``candidates``), and judged candidates: row, doc_id, start, end, kind, value, n_owners, n_repos, live.
 
-    A candidate is live if few owners hold its value, in however many of their repositories, and the value has enough distinct characters. Private key headers
-    are always live: their text is common, the key after it isn't.
+    A candidate is live if few owners hold its value, in however many of their repositories, and the value has enough distinct characters. Private keys are
+    the same value however their lines are broken.
     """
     scratch = Scratch(spark)
     rows = scratch.keep(candidates(docs, owner, repo), "secrets")
     found = rows.where(F.size("spans") > 0).select("row", "doc_id", "owner", "repo", F.explode("spans").alias("s")).select("row", "doc_id", "owner", "repo", "s.*")
-    found = found.withColumn("hash", F.sha2(F.col("value").cast("binary"), 256))
+    same = F.when(F.col("kind") == len(KINDS) - 1, F.regexp_replace("value", r"\\[nrt]|[^A-Za-z0-9+/]", "")).otherwise(F.col("value"))
+    found = found.withColumn("hash", F.sha2(same.cast("binary"), 256))
     held = scratch.keep(ownership(found), "ownership")
     judged = found.join(small(held), "hash")
     few = (F.col("n_owners") < COPIED_OWNERS) & (F.size(F.array_distinct(F.split("value", ""))) >= LIVE_CHARS)
-    return rows, judged.withColumn("live", few | (F.col("kind") == len(KINDS) - 1)).drop("hash")
+    return rows, judged.withColumn("live", few).drop("hash")
 
 
 def digest(spark: SparkSession, docs: DataFrame) -> DataFrame:
@@ -95,12 +105,12 @@ def digest(spark: SparkSession, docs: DataFrame) -> DataFrame:
 def redact(spark: SparkSession, docs: DataFrame, owner: str = "source", repo: str = "doc_id") -> DataFrame:
     """All columns of ``docs`` with every live value of a document replaced by ``[SECRET]``, and n_chars set anew where the text changed.
 
-    Only documents with live values meet a join side; that side is broadcast if it is small.
+    Longer values first, as others may lie in them. Only documents with live values meet a join side; that side is broadcast if it is small.
     """
     _, judged = scan(spark, docs, owner, repo)
-    values = judged.where("live and doc_id is not null").groupBy(F.col("doc_id").alias("_id")).agg(F.array_sort(F.collect_set("value")).alias("_values"))
+    values = judged.where("live and doc_id is not null").groupBy(F.col("doc_id").alias("_id")).agg(F.array_sort(F.collect_set(F.struct(F.length("value").alias("n"), "value"))).alias("_values"))
     values = small(Scratch(spark).keep(values, "live"))
-    clean = F.aggregate(F.reverse("_values"), F.col("text"), lambda t, v: F.replace(t, v, F.lit("[SECRET]")))
+    clean = F.aggregate(F.reverse("_values"), F.col("text"), lambda t, v: F.replace(t, v["value"], F.lit("[SECRET]")))
     joined = docs.join(values, F.col("doc_id") == F.col("_id"), "left")
     new = {"text": F.when(F.col("_values").isNotNull(), clean).otherwise(F.col("text")), "n_chars": F.when(F.col("_values").isNotNull(), F.length(clean).cast("long")).otherwise(F.col("n_chars"))}
     return joined.select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns])
