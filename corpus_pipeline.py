@@ -19,9 +19,9 @@ QUALITY = 0.3
 
 
 def _without(spark: SparkSession, docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """``docs`` but for the listed doc_ids; the list is broadcast only if it is small."""
-    gone = Scratch(spark).keep(gone.select(F.col("doc_id").alias("_gone")).distinct(), "gone")
-    return docs.join(small(gone), F.col("doc_id") == F.col("_gone"), "left_anti")
+    """``docs`` but for the listed rows, known by doc_id, null or not, and hash of the text; the list is broadcast only if it is small."""
+    gone = Scratch(spark).keep(gone.select(F.col("doc_id").alias("_gone"), F.col("th").alias("_th")).distinct(), "gone")
+    return docs.join(small(gone), F.col("doc_id").eqNullSafe(F.col("_gone")) & (F.xxhash64("text") == F.col("_th")), "left_anti")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,11 +30,22 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least doc_id of each group linked by five-word shingles at similarity 0.8; repeated rows once."""
-    if docs.groupBy("doc_id").count().where("count > 1").limit(1).count():
+    """The row with the least doc_id, those without one last, then the least hash of the text, of each group linked by
+    five-word shingles at similarity 0.8, also if rows share an id; repeated rows once."""
+    scratch, th = Scratch(spark), F.xxhash64("text").alias("th")
+    if docs.groupBy("doc_id", th).count().where("count > 1").limit(1).count():
         docs = docs.dropDuplicates(["doc_id", "text"])
-    found = ngram_join.jaccard_components(spark, docs, k=5, num=4, den=5)
-    return _without(spark, docs, found.where("doc_id <> component_id"))
+    row = F.xxhash64("doc_id", F.xxhash64("text")).alias("row")
+    found = ngram_join.jaccard_components(spark, docs.select(row.alias("doc_id"), "text"), k=5, num=4, den=5)
+    others = scratch.keep(found.where("n_shingles > 0 and doc_id <> component_id").select(F.col("doc_id").alias("row"), "component_id"), "others")
+    members = scratch.keep(others.unionByName(others.select(F.col("component_id").alias("row"), "component_id").distinct()), "members")
+    members = scratch.keep(docs.select("doc_id", th, row).join(small(members), "row"), "named")
+    first = members.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("first"))
+    first = scratch.keep(first.select("component_id", F.col("first.doc_id").alias("_id"), F.col("first.th").alias("_first")), "first")
+    gone = members.join(small(first), "component_id").where("not (doc_id <=> _id and th = _first)")
+    kept = _without(spark, docs, gone)
+    scratch.drop("others", "members", "named", "first")
+    return kept
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

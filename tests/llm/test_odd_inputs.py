@@ -227,3 +227,38 @@ def test_stages(spark, odd, empty, sf, k):
         got = stage(spark, docs, sf)
         assert k == 4 or got.columns == docs.columns
         assert got.count() <= docs.count()
+
+
+def _docs(spark, rows):
+    return spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+
+
+def _pairs(df):
+    return sorted(map(tuple, df.select("doc_id", "text").collect()), key=repr)
+
+
+def test_stages_know_rows_by_id_and_text(spark, sf):
+    """Rows without an id, and texts that share one: each stage acts on the text concerned and on no other."""
+    stages = dict(corpus_pipeline.STAGES)
+    leak = spark.read.parquet(f"{sf}/benchmark.parquet").where("size(split(text, ' ')) > 12").orderBy("item_id").first()["text"]
+    rows = [(None, leak), (None, "no id and clean"), (1, leak), (1, "clean under an id of a leak"), (2, "clean")]
+    assert _pairs(stages["benchmark_decontamination"](spark, _docs(spark, rows), sf)) == sorted([rows[1], rows[3], rows[4]], key=repr)
+
+    token, other = "ghp_" + "aB3dE6gH9" * 4, "ghp_" + "Zy8xW7vU" * 4
+    rows = [(None, f"a {token}"), (None, "none"), (3, f"b {other}"), (3, "c"), (4, f"d {other}"), (4, f"e {token} {token}")]
+    want = [(i, t.replace(token, "[SECRET]").replace(other, "[SECRET]")) for i, t in rows]
+    safe = stages["secret_scans"](spark, _docs(spark, rows), sf)
+    assert _pairs(safe) == sorted(want, key=repr) and safe.where("n_chars <> length(text)").count() == 0
+
+    long = lambda c, n=60: [f"{c}{i}" for i in range(n)]
+    text = lambda c, *more: " ".join(long(c) + list(more))
+    rows = [
+        (None, text("a", "x")), (None, text("a", "y")), (None, text("a", "y")), (5, text("a")),  # copies of 5 without an id
+        (None, text("b", "x")), (None, text("b", "y")),  # no id at all: one stays
+        (6, text("c")), (6, text("c", "z")),  # near copies under one id: one stays
+        (7, text("d")), (8, text("d", "z")), (8, text("e")),  # 8 is a copy in one text only
+        (9, ""), (10, ""), (None, ""), (11, "\t"),
+    ]
+    got = _pairs(stages["ngram_jaccard_join"](spark, _docs(spark, rows), sf))
+    assert len(got) == 9 and [i for i, t in got if t[:1] == "a"] == [5] and [i for i, t in got if t[:1] == "b"] == [None] and sum(i == 6 for i, _ in got) == 1
+    assert {(7, text("d")), (8, text("e")), (9, ""), (10, ""), (None, ""), (11, "\t")} <= set(got) and (8, text("d", "z")) not in got

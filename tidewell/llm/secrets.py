@@ -55,11 +55,11 @@ def _matches(text: Column, kind: int) -> Column:
 
 
 def candidates(docs: DataFrame, owner: str = "source", repo: str = "doc_id") -> DataFrame:
-    """Every row's doc_id, owner, repo and spans by start, then kind; null texts have none. One pass, no shuffle."""
+    """Every row's doc_id, hash of the text (th), owner, repo and spans by start, then kind; null texts have none. One pass, no shuffle."""
     text = F.coalesce("text", F.lit(""))
     spans = F.array_sort(F.concat(*[_matches(F.col("text"), k) for k in range(len(KINDS))]))
-    rows = docs.select("doc_id", F.col(owner).cast("string").alias("owner"), F.col(repo).cast("string").alias("repo"), text.alias("text"))
-    return rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "owner", "repo", spans.alias("spans"))
+    rows = docs.select("doc_id", F.xxhash64("text").alias("th"), F.col(owner).cast("string").alias("owner"), F.col(repo).cast("string").alias("repo"), text.alias("text"))
+    return rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "th", "owner", "repo", spans.alias("spans"))
 
 
 def ownership(found: DataFrame) -> DataFrame:
@@ -74,14 +74,14 @@ def ownership(found: DataFrame) -> DataFrame:
 
 
 def scan(spark: SparkSession, docs: DataFrame, owner: str = "source", repo: str = "doc_id") -> tuple[DataFrame, DataFrame]:
-    """Rows with their spans (``candidates``), and judged candidates: row, doc_id, start, end, kind, value, n_owners, n_repos, live.
+    """Rows with their spans (``candidates``), and judged candidates: row, doc_id, th, start, end, kind, value, n_owners, n_repos, live.
 
     A candidate is live if few owners hold its value, in however many of their repositories, and the value has enough distinct characters. Private keys are
     the same value however their lines are broken.
     """
     scratch = Scratch(spark)
     rows = scratch.keep(candidates(docs, owner, repo), "secrets")
-    found = rows.where(F.size("spans") > 0).select("row", "doc_id", "owner", "repo", F.explode("spans").alias("s")).select("row", "doc_id", "owner", "repo", "s.*")
+    found = rows.where(F.size("spans") > 0).select("row", "doc_id", "th", "owner", "repo", F.explode("spans").alias("s")).select("row", "doc_id", "th", "owner", "repo", "s.*")
     same = F.when(F.col("kind") == len(KINDS) - 1, F.regexp_replace("value", r"\\[nrt]|[^A-Za-z0-9+/]", "")).otherwise(F.col("value"))
     found = found.withColumn("hash", F.sha2(same.cast("binary"), 256))
     held = scratch.keep(ownership(found), "ownership")
@@ -103,14 +103,15 @@ def digest(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
 
 def redact(spark: SparkSession, docs: DataFrame, owner: str = "source", repo: str = "doc_id") -> DataFrame:
-    """All columns of ``docs`` with every live value of a document replaced by ``[SECRET]``, and n_chars set anew where the text changed.
+    """All columns of ``docs`` with every live value of a row replaced by ``[SECRET]``, and n_chars set anew where the text changed. Rows are known by
+    doc_id, null or not, and text.
 
     Longer values first, as others may lie in them. Only documents with live values meet a join side; that side is broadcast if it is small.
     """
     _, judged = scan(spark, docs, owner, repo)
-    values = judged.where("live and doc_id is not null").groupBy(F.col("doc_id").alias("_id")).agg(F.array_sort(F.collect_set(F.struct(F.length("value").alias("n"), "value"))).alias("_values"))
+    values = judged.where("live").groupBy(F.col("doc_id").alias("_id"), F.col("th").alias("_th")).agg(F.array_sort(F.collect_set(F.struct(F.length("value").alias("n"), "value"))).alias("_values"))
     values = small(Scratch(spark).keep(values, "live"))
     clean = F.aggregate(F.reverse("_values"), F.col("text"), lambda t, v: F.replace(t, v["value"], F.lit("[SECRET]")))
-    joined = docs.join(values, F.col("doc_id") == F.col("_id"), "left")
+    joined = docs.join(values, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_th")), "left")
     new = {"text": F.when(F.col("_values").isNotNull(), clean).otherwise(F.col("text")), "n_chars": F.when(F.col("_values").isNotNull(), F.length(clean).cast("long")).otherwise(F.col("n_chars"))}
     return joined.select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns])
