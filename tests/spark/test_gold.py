@@ -122,3 +122,18 @@ def test_training(spark):
     outcomes = spark.createDataFrame([(i, E + r * hour, E + d * hour, n) for i, r, d, n in ends], "ticket_id string, resolved_at timestamp, sla_deadline timestamp, reopen_count int")
     got = {r["ticket_id"]: (r["split"], r["label"], r["as_of"].hour) for r in learning.training_frame(frame_, outcomes, E + 6 * hour, E + hour, E + 2 * hour, E + 3 * hour).collect()}
     assert {i: v[:2] for i, v in got.items()} == {"train": ("train", 1), "validation": ("validation", 0), "test": ("test", 0)}
+
+
+def test_whole_backfill_takes_every_ticket(spark, sf):
+    """No ticket is created after the first event, so all but those closed before their first whole hour get features."""
+    from pyspark.sql import functions as F
+
+    from tidewell.plans import domain as Dm
+    from tidewell.plans import queries
+
+    first = Dm.ticket_events(spark, sf).agg(F.date_trunc("hour", F.min("event_time"))).first()[0]
+    tickets = Dm.tickets(spark, sf)
+    assert first.replace(tzinfo=UTC) == queries.FIRST_EVENT and tickets.where(F.col("created_at") >= first).count() == 0
+    late = tickets.where("closed_at is null or closed_at >= date_trunc('hour', created_at) + interval 1 hour")
+    got = queries.op_features_backfill_whole(spark, sf)
+    assert got.count() == late.count() == got.select("ticket_id").distinct().count() > 10_000

@@ -4,7 +4,7 @@ states step through a recursive query, peers are joined as such, windows are pla
 from __future__ import annotations
 
 from .domain import SLA_MINUTES
-from .queries import AS_OF, BEFORE, HEALTH, HOUR, NOW, OLD_HOUR, PERIODS
+from .queries import AS_OF, BEFORE, FIRST_EVENT, HEALTH, HOUR, NOW, OLD_HOUR, PERIODS
 
 _DAY = 86_400_000_000
 
@@ -223,6 +223,7 @@ select support_tier, count(*) as joined_count, cast(sum(event_id) as bigint) as
         "op_incident_signals": _INCIDENTS,
         "op_event_type_counts": _with(DOMAIN, recursive=False) + f" select * from {_event_counts(as_of)}",
         "op_features_snapshot": _features(),
+        "op_features_backfill_whole": (_with(*_backfill(), recursive=False) + " select * from backfilled").replace(str(_us(BEFORE)), str(_us(FIRST_EVENT))),
         "op_features_backfill": _with(*_backfill(), recursive=False) + " select * from backfilled",
         "op_peer_customer": _with(DOMAIN, states(health - 1)) + f" select * from {_peer('customer_id', health, (30, 90, 90))}",
         "op_peer_product": _with(DOMAIN, states(health - 1)) + f" select * from {_peer('product_id', health, (1, 1, 7))}",

@@ -18,6 +18,7 @@ AS_OF = datetime(2024, 1, 20, 12, tzinfo=UTC)
 OLD_HOUR = datetime(1996, 6, 10, tzinfo=UTC)
 HEALTH = datetime(1996, 7, 1, tzinfo=UTC)
 BEFORE = datetime(1997, 1, 1, tzinfo=UTC)
+FIRST_EVENT = datetime(2024, 1, 1, tzinfo=UTC)
 TICK = timedelta(microseconds=1)
 NOW = datetime(2024, 6, 1, tzinfo=UTC)
 FOUND: dict = {}
@@ -105,6 +106,12 @@ def op_features_backfill(s, d):
     return plain(features.backfill(D.tickets(s, d), D.contracts(s, d), D.accounts(s, d), BEFORE).drop("sla_breached"))
 
 
+@query
+def op_features_backfill_whole(s, d):
+    """The backfill of all tickets before the hour of the first ticket event."""
+    return plain(features.backfill(D.tickets(s, d), D.contracts(s, d), D.accounts(s, d), FIRST_EVENT).drop("sla_breached"))
+
+
 def _peers(s, d, key, days):
     rows = _states(s, d, HEALTH - TICK)
     spans = [timedelta(days=n) for n in days]
