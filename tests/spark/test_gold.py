@@ -137,3 +137,18 @@ def test_whole_backfill_takes_every_ticket(spark, sf):
     late = tickets.where("closed_at is null or closed_at >= date_trunc('hour', created_at) + interval 1 hour")
     got = queries.op_features_backfill_whole(spark, sf)
     assert got.count() == late.count() == got.select("ticket_id").distinct().count() > 10_000
+
+
+def test_all_hours(spark):
+    """Hours from the first creation to the last close, each as the single-hour form has it; a long open ticket costs two events."""
+    rows = [t("a", closed_at=H + 200 * M, escalated=True), t("b", priority="P2", created_at=H + 61 * M, closed_at=H + 65 * M, escalated=True), t("c", created_at=H + 90 * M, final_status="open"), t("d", customer_id="x", created_at=H + 130 * M, closed_at=H + 500 * M), t("e", created_at=H + 5 * M, closed_at=H + 600 * M, final_status="open")]
+    accounts = frame(spark, "accounts", [{"customer_id": "c1", "segment": "enterprise"}])
+    tickets = frame(spark, "tickets", rows)
+    bulk = gold.operations_all(state.with_terms(tickets, contract(spark, TERMS)), accounts)
+    got, names = bulk.collect(), sorted(bulk.columns)
+    assert {(r["hour"].replace(tzinfo=UTC) - H) / (60 * M) for r in got} == set(range(11))
+    for h in range(11):
+        hour = H + h * 60 * M
+        one = gold.operations(states(spark, rows, TERMS, hour + 60 * M - TICK), accounts, hour).collect()
+        key = lambda r: repr(tuple(r[c] for c in names))
+        assert sorted(map(key, one)) == sorted(key(r) for r in got if r["hour"].replace(tzinfo=UTC) == hour)
