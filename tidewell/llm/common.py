@@ -104,6 +104,20 @@ def slices(offsets: np.ndarray, limit: int = CHUNK) -> Iterator[tuple[int, int]]
         lo = hi
 
 
+def gathered(batches: Iterator[pa.RecordBatch], limit: int, column: str = "text") -> Iterator[pa.RecordBatch]:
+    """Batches put together until they have ``limit`` bytes in ``column``; empty ones go."""
+    held, size = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            size += batch.column(column).nbytes
+        if size >= limit:
+            yield held[0] if len(held) == 1 else pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 _P = 0xD6E8FEB86659FD93
 

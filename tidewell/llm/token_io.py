@@ -17,23 +17,20 @@ Flag 1: ids are stored as uint32 instead of uint16. Flag 2: the doc_id is null.
 
 from __future__ import annotations
 
-import bisect
 import hashlib
 import os
-import re
-import unicodedata
 import uuid
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, arrow_map, pa_schema, shared_dir, slices, small_batches, utf8
+from .common import arrow_map, gathered, pa_schema, shared_dir, slices, small_batches, utf8
 
 MAGIC = b"TWTOKEN1"
 INDEX = np.dtype([("doc_id", "<i8"), ("offset", "<u8"), ("bytes", "<u4"), ("ids", "<u4"), ("flags", "<u4")])
@@ -41,99 +38,103 @@ _FOOT = np.dtype([("index", "<u8"), ("dictionary", "<u8"), ("documents", "<u8"),
 _FOOT_BYTES = 64 + len(MAGIC)
 #: Bytes of text that a shard should hold about.
 SHARD_BYTES = 64 << 20
+#: Most ranges of rows dealt out; beyond, a task writes several shards.
+RANGES = 20_000
+#: Bytes of text encoded at once.
+TEXT_BYTES = 4 << 20
 #: Documents the dictionary is trained on at most, and its size.
 SAMPLE, DICTIONARY = 2_000, 64 << 10
-#: Entries in each of the two generations of a worker's cache.
-CACHE = 400_000
-#: Pieces given to the library at once.
-BLOCK = 20_000
-_GAPS = re.compile("[ \t\r\n]+")
-_CONTROL = re.compile("[\x1c-\x1f]")
-# Runs of lower-case Latin letters, and of ASCII signs and digits without the apostrophe, which may start a contraction.
-_LETTERS = "a-zß-öø-ÿĀ-ſ"
-_PLAIN = re.compile(f"(?:[{_LETTERS}]+|[!-&(-@\\[-`{{-~]+)+")
-_RUNS = re.compile(f"[{_LETTERS}]+|[^{_LETTERS}]+")
-
-
-class Remembered:
-    """A bounded dictionary of two generations: what is used stays, what isn't goes with the older one."""
-
-    def __init__(self, limit: int = CACHE):
-        self.limit, self.young, self.old = limit, {}, {}
-
-    def turn(self) -> None:
-        if len(self.young) > self.limit:
-            self.old, self.young = self.young, {}
-
-    def missing(self, keys: set[str]) -> list[str]:
-        """Keys not known; known ones of the older generation move to the younger."""
-        out = []
-        for k in keys.difference(self.young):  # looks keys up; a view's difference would walk the dictionary
-            if k in self.old:
-                self.young[k] = self.old[k]
-            else:
-                out.append(k)
-        return out
+# Pieces of ASCII signs, digits and letters and Latin-1 letters, which have one lower case each and nothing to compose with; not the
+# apostrophe, which may start a contraction.
+_PLAIN = "^[!-&(-~À-ÖØ-öø-ÿ]+$"
+_END = "</w>"
+#: Pieces given to the library as one text; its normaliser slows down on longer ones.
+BLOCK = 1_000
+
+
+def _kinds() -> np.ndarray:
+    """Of each Latin-1 code point: 0 space, 1 letter, 2 digit, 3 sign."""
+    table = np.full(256, 3, np.int8)
+    table[32], table[48:58] = 0, 2
+    table[[c for c in range(256) if chr(c).isalpha()]] = 1
+    return table
+
+
+_KINDS = _kinds()
+
+
+def _gathered(flat: np.ndarray, sizes: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of ``flat``, which have these sizes one after the other, in the order of the codes; and where each begins."""
+    n = sizes[codes]
+    at = np.concatenate([[0], np.cumsum(n)])
+    return flat[np.repeat((np.cumsum(sizes) - sizes)[codes] - at[:-1], n) + np.arange(at[-1])], at
 
 
 class Encoder:
-    """Encodes texts by their white-space separated pieces, each distinct piece of a batch once.
+    """Encodes texts by their white-space separated pieces, each distinct piece of a slice once.
 
     That is exact for tokenizers that drop white space, normalise no character across it and split at it: no token spans it, so a
-    text's ids are its pieces' ids in order. ``word_bpe`` tokenizers also lower-case and split between letters and signs, so
-    that a piece's ids are those of its runs; texts where that might not hold (an apostrophe, text not in NFC, special tokens, letters
-    whose lower case depends on their place) keep whole pieces. ``whole`` encodes texts as they are, for other tokenizers.
+    text's ids are its pieces' ids in order. ``word_bpe`` tokenizers also lower-case, split into runs of letters, single digits and runs of signs, and
+    end each with a token of its own; plain pieces are therefore encoded together and told apart by their number of ends. Others (an
+    apostrophe, special tokens, letters beyond Latin-1) go one by one. ``whole`` encodes texts as they are, for other tokenizers.
     """
 
     def __init__(self, path: str, end: int | None, whole: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks share the cores already
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.whole = Tokenizer.from_file(path), whole
-        self.end = b"" if end is None else np.array([end], "<u4").tobytes()
-        self.known = Remembered()
-
-    def _ids(self, pieces: list[str]) -> Iterator[bytes]:
-        """Ids of each piece; many pieces make one encoding, which says what piece a token is of."""
-        for lo in range(0, len(pieces), BLOCK):
-            some = pieces[lo : lo + BLOCK]
-            made = self.tokenizer.encode(some, is_pretokenized=True, add_special_tokens=False)
-            edges = (4 * np.searchsorted(np.array(made.word_ids, np.int64), np.arange(len(some) + 1))).tolist()
-            data = array("I", made.ids).tobytes()
-            for a, b in zip(edges, edges[1:], strict=False):
-                yield data[a:b]
-
-    @staticmethod
-    def _split(text: str) -> list[str]:
-        safe = "<|" not in text and "Σ" not in text and "İ" not in text and (text.isascii() or unicodedata.is_normalized("NFC", text))
-        text = text.lower() if safe else text
-        return _GAPS.split(text) if _CONTROL.search(text) else text.split()
-
-    def encode(self, texts: list[str | None]) -> Iterator[bytes]:
-        """Little-endian uint32 ids of each text with the end id; null counts as empty."""
+        self.tokenizer, self.whole, self.end = Tokenizer.from_file(path), whole, end
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith(_END)]] = True
+
+    def _together(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of plain pieces end to end, and each one's number of ids; each distinct run is encoded once."""
+        data = np.frombuffer(" ".join(pieces).lower().encode("latin-1"), np.uint8)
+        kind = _KINDS[data]
+        starts = kind > 0
+        starts[1:] &= (kind[1:] != kind[:-1]) | (kind[1:] == 2)
+        runs = np.add.reduceat(starts, np.concatenate([[0], np.flatnonzero(kind == 0)]), dtype=np.int64)
+        data, begin = data[kind > 0], np.flatnonzero(starts[kind > 0])
+        coded = pa.Array.from_buffers(pa.large_binary(), len(begin), [None, pa.py_buffer(np.append(begin, len(data))), pa.py_buffer(data)]).dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        blocks = [b" ".join(words[lo : lo + BLOCK]).decode("latin-1") for lo in range(0, len(words), BLOCK)]
+        ids = np.concatenate([np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch_fast(blocks, add_special_tokens=False)])
+        ends = np.flatnonzero(self.ends[ids])
+        if len(ends) != len(words):
+            raise ValueError("the tokenizer doesn't end every word with a token of its own; use whole=True")
+        ids, at = _gathered(ids, np.diff(ends, prepend=-1), coded.indices.to_numpy())
+        return ids, np.diff(at[np.concatenate([[0], np.cumsum(runs)])])
+
+    def _apart(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same of any pieces; many make one encoding, which says what piece a token is of."""
+        made = self.tokenizer.encode(pieces, is_pretokenized=True, add_special_tokens=False)
+        return np.array(made.ids, np.uint32), np.bincount(np.array(made.word_ids, np.int64), minlength=len(pieces))
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts end to end, each with the end id, and where each text's begin; null counts as empty."""
+        ends = 0 if self.end is None else 1
         if self.whole:
-            for text in texts:
-                yield array("I", self.tokenizer.encode(text or "", add_special_tokens=False).ids).tobytes() + self.end
-            return
-        self.known.turn()
-        ids = self.known.young
-        cut = [self._split(t or "") for t in texts]
-        found = [list(map(ids.get, pieces)) for pieces in cut]
-        holes = [(pieces, values) for pieces, values in zip(cut, found, strict=True) if None in values]
-        missing = {p for pieces, values in holes for p, v in zip(pieces, values, strict=True) if v is None}
-        parts = {p: _RUNS.findall(p) if "<|" not in p and _PLAIN.fullmatch(p) else [p] for p in self.known.missing(missing)}
-        new = self.known.missing({r for rs in parts.values() for r in rs})
-        ids.update(zip(new, self._ids(new), strict=True))
-        for piece, runs in parts.items():
-            if len(runs) > 1:
-                ids[piece] = b"".join([ids[r] for r in runs])
-        for pieces, values in holes:
-            values[:] = map(ids.__getitem__, pieces)
-        for values in found:
-            yield b"".join(values) + self.end
-
-
-#: The encoder a worker used last; its remembered pieces serve the tasks that follow.
+            rows = [self.tokenizer.encode(t or "", add_special_tokens=False).ids + [self.end] * ends for t in texts.to_pylist()]
+            return np.array([i for r in rows for i in r], np.uint32), np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int64)
+        cut = pc.ascii_split_whitespace(pc.fill_null(texts, "").cast(pa.large_string()))
+        edges = cut.offsets.to_numpy().astype(np.int64)
+        coded = cut.values.slice(edges[0], edges[-1] - edges[0]).dictionary_encode()
+        pieces = coded.dictionary
+        plain = pc.and_not(pc.match_substring_regex(pieces, _PLAIN), pc.match_substring(pieces, "<|")).to_numpy(zero_copy_only=False)
+        sizes, flat = np.zeros(len(pieces), np.int64), []
+        for some, solve in ((plain, self._together), (~plain, self._apart)):
+            if some.any():
+                ids, sizes[some] = solve(pieces.filter(pa.array(some)).to_pylist())
+                flat.append(ids)
+        place = np.empty(len(pieces), np.int64)
+        place[np.argsort(~plain, kind="stable")] = np.arange(len(pieces))
+        ids, at = _gathered(np.concatenate([np.zeros(0, np.uint32), *flat]), sizes[np.argsort(place)], place[coded.indices.to_numpy()])
+        starts = at[edges - edges[0]]
+        return (np.insert(ids, starts[1:], self.end) if ends else ids), starts + ends * np.arange(len(starts))
+
+
+#: The encoder a worker used last, for the tasks that follow.
 _last: dict[tuple, Encoder] = {}
 
 
@@ -144,21 +145,21 @@ def _encoder(*key) -> Encoder:
     return _last[key]
 
 
-def _packed(ids: bytes) -> tuple[bytes, int]:
-    wide = np.frombuffer(ids, "<u4")
-    return (ids, 1) if len(wide) and int(wide.max()) > 0xFFFF else (wide.astype("<u2").tobytes(), 0)
+def _packed(ids: np.ndarray) -> tuple[bytes, int]:
+    return (ids.astype("<u4").tobytes(), 1) if len(ids) and int(ids.max()) > 0xFFFF else (ids.astype("<u2").tobytes(), 0)
 
 
 def train_dictionary(docs: DataFrame, path: str, end: int | None, whole: bool = False, sample: int = SAMPLE) -> bytes:
     """A zstandard dictionary from at most ``sample`` documents' packed ids (each at most 64 kB of text); empty if there are too few."""
     picked = docs.select("doc_id").where("doc_id is not null").withColumn("_h", F.xxhash64("doc_id")).orderBy("_h", "doc_id").limit(sample)
-    rows = docs.join(F.broadcast(picked.select("doc_id").distinct()), "doc_id", "left_semi").where(F.length("text") < 1 << 16).select("doc_id", "text").limit(sample)
+    rows = docs.join(F.broadcast(picked.select("doc_id").distinct()), "doc_id", "left_semi").where(F.length("text") < 1 << 16).select("doc_id", "text")
+    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(sample)
 
     def run(batch):
-        encoder = _encoder(path, end, whole)
-        return {"doc_id": batch.column("doc_id"), "ids": [_packed(x)[0] for x in encoder.encode(batch.column("text").to_pylist())]}
+        ids, at = _encoder(path, end, whole).encode(batch.column("text"))
+        return {"doc_id": batch.column("doc_id"), "ids": [_packed(ids[a:b])[0] for a, b in zip(at, at[1:], strict=False)]}
 
-    samples = arrow_map(rows, run, "doc_id long, ids binary").toArrow().sort_by("doc_id").column("ids").to_pylist()
+    samples = arrow_map(rows, run, "doc_id long, ids binary").toArrow().sort_by([("doc_id", "ascending"), ("ids", "ascending")]).column("ids").to_pylist()
     samples = [x for x in samples if len(x) >= 8]
     try:
         return zstandard.train_dictionary(DICTIONARY, samples).as_bytes() if len(samples) >= 8 else b""
@@ -230,66 +231,54 @@ class ShardReader:
 def write_tokens(spark: SparkSession, docs: DataFrame, path: str, tokenizer: str, end: int | None = 1, whole: bool = False) -> DataFrame:
     """Encode ``docs`` (doc_id, text) and write shards under ``path`` in ascending doc_id order.
 
-    Returns the manifest: shard, file, documents, ids, base (ids of all shards before). Null texts count
-    as empty, null doc_ids come first; repeated rows are all written, ties in the order of their ids.
-    Only the shards' manifest rows reach the driver. Shards cut the range of doc_ids at quantiles of
-    the whole table, so their number follows its size.
+    Returns the manifest, also written under ``path``: shard, file, documents, ids, base (ids of all shards before). Null texts count
+    as empty, null doc_ids come first; repeated rows are all written, rows of one doc_id in the order of their text's hash.
+    Rows are dealt to ranges of doc_id and hash, so that no id's rows need to fit in one; a task sorts its range, encodes it and goes on to a new
+    shard after SHARD_BYTES of text. What an executor loses is made again from the texts under new names; the manifest lists finished shards only.
     """
-    scratch = Scratch(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     dictionary = train_dictionary(docs, tokenizer, end, whole)
     size = docs.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
-    shards = 1 + size // SHARD_BYTES
-    cuts = docs.agg(F.percentile_approx("doc_id", [i / shards for i in range(1, shards)], 100 * int(shards)).alias("q")).first()["q"] or [] if shards > 1 else []
-    cuts = sorted(set(cuts))
+    ranges = int(min(1 + size // SHARD_BYTES, RANGES))
     sent = spark.sparkContext.broadcast(dictionary)
     small_batches(spark)
+    ddl = "doc_id long, th long, part long, file string, documents long, ids long"
+    listed = pa_schema(spark, ddl)
 
-    def encoded(batches):
+    def written(batches):
         encoder = _encoder(tokenizer, end, whole)
         shared = zstandard.ZstdCompressionDict(sent.value) if sent.value else None
         squeeze = zstandard.ZstdCompressor(level=3, dict_data=shared, write_checksum=False)
-        for batch in batches:
-            for lo, hi in slices(utf8(batch.column("text"))[0]):
-                out = {"doc_id": batch.column("doc_id").slice(lo, hi - lo), "shard": [], "n": [], "wide": [], "frame": []}
-                for doc_id, raw in zip(out["doc_id"].to_pylist(), encoder.encode(batch.column("text").slice(lo, hi - lo).to_pylist()), strict=True):
-                    packed, wide = _packed(raw)
-                    out["shard"].append(0 if doc_id is None else bisect.bisect_right(cuts, doc_id))
-                    out["n"].append(len(raw) // 4)
-                    out["wide"].append(wide)
-                    out["frame"].append(squeeze.compress(packed))
-                yield pa.RecordBatch.from_pydict(out, schema=frames)
-
-    ddl = "doc_id long, shard int, n int, wide int, frame binary"
-    frames, listed = pa_schema(spark, ddl), pa_schema(spark, "shard int, file string, documents long, ids long")
-
-    def written(batches):
-        now, writer, name = None, None, ""
+        writer, part, held = None, 0, 0
 
         def done():
             n, total = writer.close()
-            return pa.RecordBatch.from_pydict({"shard": [now], "file": [name], "documents": [n], "ids": [total]}, schema=listed)
-
-        for batch in batches:
-            for shard, doc_id, n, wide, frame in zip(*(batch.column(c).to_pylist() for c in ("shard", "doc_id", "n", "wide", "frame")), strict=True):
-                if shard != now:
-                    if writer:
-                        yield done()
-                    now, name = shard, f"{path}/shard-{shard:06d}-{uuid.uuid4().hex}.tok"
-                    writer = ShardWriter(name, sent.value)
-                writer.add(doc_id, frame, n, wide)
+            return pa.RecordBatch.from_pydict({"doc_id": [first[0]], "th": [first[1]], "part": [part], "file": [name], "documents": [n], "ids": [total]}, schema=listed)
+
+        for rows in gathered(batches, TEXT_BYTES):
+            for lo, hi in slices(utf8(rows.column("text"))[0], TEXT_BYTES):
+                texts, doc_ids = rows.column("text").slice(lo, hi - lo), rows.column("doc_id").slice(lo, hi - lo).to_pylist()
+                if writer is None:
+                    first, name = (doc_ids[0], rows.column("th")[lo].as_py()), f"{path}/shard-{uuid.uuid4().hex}.tok"
+                    writer, held = ShardWriter(name, sent.value), 0
+                ids, at = encoder.encode(texts)
+                for doc_id, a, b in zip(doc_ids, at[:-1].tolist(), at[1:].tolist(), strict=True):
+                    packed, wide = _packed(ids[a:b])
+                    writer.add(doc_id, squeeze.compress(packed), b - a, wide)
+                held += texts.nbytes
+                if held >= SHARD_BYTES:
+                    yield done()
+                    writer, part = None, part + 1
         if writer:
             yield done()
 
-    rows = docs.mapInArrow(encoded, ddl).repartition("shard").sortWithinPartitions("shard", "doc_id", "n", "frame")
-    made = rows.mapInArrow(written, "shard int, file string, documents long, ids long")
-    manifest = scratch.keep(made, "manifest").collect()
-    scratch.drop("manifest")
-    base, out = 0, []
-    for row in sorted(manifest, key=lambda r: r["shard"]):
-        out.append((*row, base))
-        base += row["ids"]
-    return spark.createDataFrame(out, "shard int, file string, documents long, ids long, base long")
+    rows = docs.withColumn("th", F.xxhash64("text")).repartitionByRange(ranges, "doc_id", "th").sortWithinPartitions("doc_id", "th")
+    manifest = f"{path}/manifest"
+    rows.mapInArrow(written, ddl).write.parquet(manifest)
+    # One row a shard: few enough for one task.
+    order = Window.orderBy("doc_id", "th", "part")
+    before = F.coalesce(F.sum("ids").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return spark.read.schema(ddl).parquet(manifest).select((F.row_number().over(order) - 1).alias("shard"), "file", "documents", "ids", before.alias("base"))
 
 
 def read_tokens(manifest: DataFrame) -> DataFrame:
