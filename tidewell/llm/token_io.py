@@ -41,15 +41,15 @@ SHARD_BYTES = 64 << 20
 #: Most ranges of rows dealt out; beyond, a task writes several shards.
 RANGES = 20_000
 #: Bytes of text encoded at once.
-TEXT_BYTES = 4 << 20
+TEXT_BYTES = 8 << 20
 #: Documents the dictionary is trained on at most, and its size.
 SAMPLE, DICTIONARY = 2_000, 64 << 10
 # Pieces of ASCII signs, digits and letters and Latin-1 letters, which have one lower case each and nothing to compose with; not the
 # apostrophe, which may start a contraction.
 _PLAIN = "^[!-&(-~À-ÖØ-öø-ÿ]+$"
 _END = "</w>"
-#: Pieces given to the library as one text; its normaliser slows down on longer ones.
-BLOCK = 1_000
+#: Runs given to the library as one text; it slows down on longer ones.
+BLOCK = 300
 
 
 def _kinds() -> np.ndarray:
@@ -67,7 +67,8 @@ def _gathered(flat: np.ndarray, sizes: np.ndarray, codes: np.ndarray) -> tuple[n
     """The runs of ``flat``, which have these sizes one after the other, in the order of the codes; and where each begins."""
     n = sizes[codes]
     at = np.concatenate([[0], np.cumsum(n)])
-    return flat[np.repeat((np.cumsum(sizes) - sizes)[codes] - at[:-1], n) + np.arange(at[-1])], at
+    step = ((np.cumsum(sizes) - sizes)[codes] - at[:-1]).astype(np.int32)  # a slice's ids are far fewer than 2 ** 31
+    return flat[np.repeat(step, n) + np.arange(at[-1], dtype=np.int32)], at
 
 
 class Encoder:
@@ -82,8 +83,11 @@ class Encoder:
     def __init__(self, path: str, end: int | None, whole: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks share the cores already
         from tokenizers import Tokenizer
+        from tokenizers.normalizers import Sequence
 
         self.tokenizer, self.whole, self.end = Tokenizer.from_file(path), whole, end
+        self.bare = Tokenizer.from_file(path)  # for runs that are normal already
+        self.bare.normalizer = Sequence([])
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith(_END)]] = True
@@ -99,7 +103,7 @@ class Encoder:
         coded = pa.Array.from_buffers(pa.large_binary(), len(begin), [None, pa.py_buffer(np.append(begin, len(data))), pa.py_buffer(data)]).dictionary_encode()
         words = coded.dictionary.to_pylist()
         blocks = [b" ".join(words[lo : lo + BLOCK]).decode("latin-1") for lo in range(0, len(words), BLOCK)]
-        ids = np.concatenate([np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch_fast(blocks, add_special_tokens=False)])
+        ids = np.concatenate([np.array(x.ids, np.uint32) for x in self.bare.encode_batch_fast(blocks, add_special_tokens=False)])
         ends = np.flatnonzero(self.ends[ids])
         if len(ends) != len(words):
             raise ValueError("the tokenizer doesn't end every word with a token of its own; use whole=True")
