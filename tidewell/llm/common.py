@@ -42,7 +42,8 @@ class Scratch:
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{shared_dir(self.spark)}/tidewell/{name}-{uuid.uuid4().hex}"
-        df.write.parquet(path)
+        # A marker file isn't needed: a failed write raises here.
+        df.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path)
         self.paths[name] = path
         return self.spark.read.schema(df.schema).parquet(path)
 

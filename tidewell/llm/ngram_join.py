@@ -172,22 +172,17 @@ def segments(docs: DataFrame, order, k: int) -> DataFrame:
     return arrow_map(docs, run, "rep long, f int, part array<long>")
 
 
-def _verified(scratch: Scratch, pairs: DataFrame, classes: DataFrame, docs: DataFrame, repeats: bool, order, k: int, num: int, den: int, name: str) -> DataFrame:
+def _verified(scratch: Scratch, pairs: DataFrame, classes: DataFrame, docs: DataFrame, order, k: int, num: int, den: int, name: str) -> DataFrame:
     """Links among candidate pairs (x, y, nx, ny): those whose overlaps in the fragments sum to the threshold. Only their documents are cut."""
-    pairs = scratch.keep(pairs, f"pairs-{name}")
-    ends = pairs.select(F.col("x").alias("rep")).unionByName(pairs.select(F.col("y").alias("rep"))).distinct()
-    needed = scratch.keep(ends.join(classes, "rep").select("rep", F.col("first").alias("doc_id")), f"needed-{name}")
-    parts = segments(docs.join(small(needed.select("doc_id").distinct()), "doc_id", "left_semi"), order, k)
-    # A document's id may be shared by other texts.
-    parts = scratch.keep(parts.join(small(needed.select("rep")), "rep", "left_semi"), f"parts-{name}")
-    if repeats:
-        parts = parts.dropDuplicates(["rep", "f"])
-    x = parts.select(F.col("rep").alias("x"), "f", F.col("part").alias("px")).join(small(pairs), "x")
-    y = parts.select(F.col("rep").alias("y"), "f", F.col("part").alias("py"))
-    both = x.join(y, ["y", "f"]).select("x", "y", "nx", "ny", F.size(F.array_intersect("px", "py")).alias("common"))
-    linked = both.groupBy("x", "y", "nx", "ny").agg(F.sum("common").alias("common")).where(f"{num + den} * common >= {num} * (nx + ny)")
+    ends = pairs.select("*", F.explode(F.array("x", "y")).alias("rep"))
+    ends = scratch.keep(ends.join(classes.select("rep", "first"), "rep"), f"ends-{name}")
+    parts = segments(docs.join(small(ends.select(F.col("first").alias("doc_id")).distinct()), "doc_id", "left_semi"), order, k)
+    # A pair's two segments meet in each fragment; as a set, because a text may be there again under the same id.
+    both = parts.join(small(ends), "rep").groupBy("x", "y", "nx", "ny", "f").agg(F.collect_set(F.struct("rep", "part")).alias("s"))
+    counted = both.where("size(s) = 2").select("x", "y", "nx", "ny", F.expr("size(array_intersect(s[0].part, s[1].part)) common"))
+    linked = counted.groupBy("x", "y", "nx", "ny").agg(F.sum("common").alias("common")).where(f"{num + den} * common >= {num} * (nx + ny)")
     links = scratch.keep(linked.select("x", "y"), f"links-{name}")
-    scratch.drop(f"pairs-{name}", f"needed-{name}", f"parts-{name}")
+    scratch.drop(f"ends-{name}")
     return links
 
 
@@ -233,25 +228,22 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, k: int = 5, num: in
     some = base.where("n > 0 and doc_id is not null")
     picked = some.groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("first"), F.min_by(F.struct("pre", "lens", "sig"), "doc_id").alias("best"))
     classes = scratch.keep(picked.select(F.col("k1").alias("rep"), "k2", "n", "first", "best.*"), "classes")
-    ids = scratch.keep(base.select("doc_id", "n", "k1", "k2"), "ids")
-    scratch.drop("sets")
     entry = classes.select("rep", "n", F.posexplode("pre").alias("pos", "tok"))
     # Lists are counted before the rows meet them, so that a join may split a long one.
     lists = scratch.keep(entry.groupBy("tok").agg(F.count("*").alias("size")).where("size > 1").select("tok"), "lists")
-    listed = scratch.keep(entry.join(small(lists), "tok"), "listed")
-    repeats = bool(ids.groupBy("doc_id").count().where("count > 1").limit(1).count())
-    verified = lambda pairs, name: _verified(scratch, pairs, classes, docs, repeats, order, k, num, den, name)
+    listed = scratch.keep(entry.join(lists, "tok"), "listed")
+    verified = lambda pairs, name: _verified(scratch, pairs, classes, docs, order, k, num, den, name)
     links, label = None, None
     for turn, mask in enumerate(MASKS):
         now = listed.withColumn("comp", F.col("rep")) if label is None else scratch.keep(listed.join(label, "rep"), f"now{turn}")
         picks = [f(F.col("rep").bitwiseXOR(F.lit(mask))).bitwiseXOR(F.lit(mask)) for f in (F.min, F.max)]
         lead = now.groupBy("tok").agg(F.array(*picks).alias("lead"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("tok", F.explode(F.array_distinct("lead")).alias("rep"))
         lead = scratch.keep(lead.join(now, ["tok", "rep"]), f"lead{turn}")
-        pairs = small(lead).alias("a").join(now.alias("b"), F.expr(f"a.tok = b.tok and a.comp <> b.comp and {_near('a', 'b', num, den)}")).select("b.rep", F.col("a.rep").alias("lead"), "b.n", F.col("a.n").alias("m")).distinct()
+        pairs = lead.alias("a").join(now.alias("b"), F.expr(f"a.tok = b.tok and a.comp <> b.comp and {_near('a', 'b', num, den)}")).select("b.rep", F.col("a.rep").alias("lead"), "b.n", F.col("a.n").alias("m")).distinct()
         found = verified(_best(pairs, classes, num, den), str(turn))
         links = found if links is None else links.unionByName(found)
-        label = scratch.keep(_label(scratch, links, listed, f"graph{turn}-"), f"label{turn}")
-    rest = scratch.keep(_left(scratch, listed, label, classes, num, den), "rest")
+        graph, label = _label(scratch, links, listed, turn)
+    rest = _left(scratch, listed, label, classes, num, den)
     for turn in range(REST_ROUNDS):
         comp = lambda c: label.select(F.col("rep").alias(c), F.col("comp").alias(f"c{c}"))  # noqa: E731, B023
         rest = scratch.keep(rest.join(comp("x"), "x").join(comp("y"), "y").where("cx <> cy").select("x", "y", "nx", "ny", "d", F.least("cx", "cy").alias("a"), F.greatest("cx", "cy").alias("b")), f"rest{turn}")
@@ -263,21 +255,20 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, k: int = 5, num: in
         tried = rest if last else rest.groupBy("a", "b").agg(F.min(F.struct("d", "x", "y", "nx", "ny")).alias("p")).select("p.*")
         tried = tried.select("x", "y", "nx", "ny")
         links = links.unionByName(verified(tried, f"rest{turn}"))
+        graph, label = _label(scratch, links, listed, len(MASKS) + turn)
         if last:
             break
-        label = scratch.keep(_label(scratch, links, listed, f"graph-{turn}-"), f"label-{turn}")
         rest = rest.join(tried.select("x", "y"), ["x", "y"], "left_anti").drop("a", "b")
     # Only classes with links need a component; the others are their own.
-    graph = components(scratch, links.select(F.col("x").alias("u"), F.col("y").alias("v")), "graph-")
     linked = scratch.keep(graph.withColumnRenamed("node", "rep").join(classes.select("rep", "first"), "rep"), "linked")
     least = scratch.keep(linked.groupBy("component").agg(F.min("first").alias("component_id")), "least")
-    linked = scratch.keep(linked.join(small(least), "component").select("rep", "component_id"), "members")
-    member = classes.join(small(linked), "rep", "left").select(F.col("rep").alias("k1"), "k2", "n", F.coalesce("component_id", "first").alias("component_id"))
-    member = scratch.keep(member, "member")
-    scratch.drop(*[x for x in scratch.paths if x not in ("ids", "member")])
+    linked = scratch.keep(linked.join(least, "component").select("rep", "component_id"), "members")
+    scratch.drop(*[x for x in scratch.paths if x not in ("sets", "classes", "members")])
     order.unpersist()
-    own = ids.where("n > 0").join(member, ["k1", "k2", "n"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
-    return own.unionByName(ids.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+    member = classes.join(linked, "rep", "left").select(F.col("rep").alias("k1"), "k2", "n", F.coalesce("component_id", "first").alias("component_id"))
+    own = base.where("n > 0").select("doc_id", "n", "k1", "k2").join(member, ["k1", "k2", "n"], "left")
+    own = own.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
+    return own.unionByName(base.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
 
 
 def _left(scratch: Scratch, listed: DataFrame, label: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
@@ -288,7 +279,7 @@ def _left(scratch: Scratch, listed: DataFrame, label: DataFrame, classes: DataFr
     """
     now = scratch.keep(listed.join(label, "rep"), "now-left")
     open_ = now.groupBy("tok").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m")).where("lo < hi").select("tok", "m")
-    now = scratch.keep(now.join(small(scratch.keep(open_, "open-lists")), "tok"), "open")
+    now = scratch.keep(now.join(scratch.keep(open_, "open-lists"), "tok"), "open")
     pair = [F.expr(e) for e in ("a.rep x", "b.rep y", "a.n nx", "b.n ny")]
     side = lambda c: classes.select(F.col("rep").alias(c), F.col("lens").alias(f"l{c}"), F.col("sig").alias(f"s{c}"))
     short = now.where(f"m <= {SHORT}")
@@ -308,6 +299,8 @@ def _left(scratch: Scratch, listed: DataFrame, label: DataFrame, classes: DataFr
     return short.unionByName(met).distinct()
 
 
-def _label(scratch: Scratch, links: DataFrame, listed: DataFrame, prefix: str) -> DataFrame:
-    found = components(scratch, links.select(F.col("x").alias("u"), F.col("y").alias("v")), prefix)
-    return listed.select("rep").distinct().join(found.withColumnRenamed("node", "rep"), "rep", "left").select("rep", F.coalesce("component", "rep").alias("comp"))
+def _label(scratch: Scratch, links: DataFrame, listed: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
+    """Components of the links so far (node, component), and the component of every class in a list: rep, comp."""
+    graph = components(scratch, links.select(F.col("x").alias("u"), F.col("y").alias("v")), f"graph{turn}-")
+    label = listed.select("rep").distinct().join(graph.withColumnRenamed("node", "rep"), "rep", "left").select("rep", F.coalesce("component", "rep").alias("comp"))
+    return graph, scratch.keep(label, f"label{turn}")
