@@ -83,53 +83,54 @@ def test_first_valid_takes_the_key(spark):
 @pytest.fixture
 def store(spark, tmp_path):
     made = stores.Store(spark, f"{tmp_path}/w")
-    frame(spark, "accounts", [{"customer_id": "c"}]).write.parquet(made.path("silver", "accounts"))
-    frame(spark, "products", [{"product_id": "p"}]).write.parquet(made.path("silver", "products"))
+    made.append(frame(spark, "accounts", [{"customer_id": "c"}]), "silver", "accounts")
+    made.append(frame(spark, "products", [{"product_id": "p"}]), "silver", "products")
     return made
 
 
 def test_run_survives_a_crash(spark, store, monkeypatch):
-    rows = [TICKET | {"ticket_id": f"t{i}"} for i in range(4)] + [TICKET | {"ticket_id": "t0", "subject": "variant"}] + [TICKET | {"ticket_id": f"b{i}", "priority": "bad"} for i in range(8)]
-    raw(spark, "tickets", rows).write.parquet(store.path("bronze", "tickets"))
-    insert = stores.Store.insert_only
-
-    def torn(self, rows, layer, name, keys):
+    """A run that fails before its evidence is written decides nothing anew when it is repeated, whatever arrived meanwhile."""
+    good = [TICKET | {"ticket_id": f"ok-{i}"} for i in range(3)]
+    twice = [TICKET | {"ticket_id": "ok-1", "subject": s} for s in ("b", "c")]
+    bad = [TICKET | {"ticket_id": f"no-{i}", "priority": "none"} for i in range(2)]
+    store.append(raw(spark, "tickets", good + twice + bad), "bronze", "tickets")
+    whole = stores.Store.insert_only
+
+    def torn(self, rows, layer, name, *more):
         if name == "invalid_records":
             raise RuntimeError("crash")
-        insert(self, rows, layer, name, keys)
+        whole(self, rows, layer, name, *more)
 
     monkeypatch.setattr(stores.Store, "insert_only", torn)
     with pytest.raises(RuntimeError):
-        silver.run(store, "tickets", "r1", NOW)
-    monkeypatch.setattr(stores.Store, "insert_only", insert)
-    raw(spark, "tickets", [TICKET | {"ticket_id": "late"}]).write.mode("append").parquet(store.path("bronze", "tickets"))
-    first = silver.run(store, "tickets", "r1", NOW)
-    assert (first["records_read"], first["accepted_count"], first["duplicate_count"], first["quarantine_count"]) == (13, 4, 1, 8)
-    assert silver.run(store, "tickets", "r1", NOW)["accepted_count"] == 4 and store.read("silver", "tickets").count() == 4
-    second = silver.run(store, "tickets", "r2", NOW + timedelta(hours=1))
-    assert (second["accepted_count"], second["duplicate_count"], second["quarantine_count"]) == (1, 5, 8)
-    assert store.read("ops", "invalid_records").count() == 8
+        silver.run(store, "tickets", "../first", NOW)
+    monkeypatch.setattr(stores.Store, "insert_only", whole)
+    store.append(raw(spark, "tickets", [TICKET | {"ticket_id": "meanwhile"}]), "bronze", "tickets")
+    counts = lambda r: [r[c] for c in ("records_read", "accepted_count", "duplicate_count", "quarantine_count")]
+    assert counts(silver.run(store, "tickets", "../first", NOW)) == [7, 3, 2, 2] == counts(silver.run(store, "tickets", "../first", NOW))
+    assert counts(silver.run(store, "tickets", "second", NOW + timedelta(minutes=1))) == [8, 1, 5, 2]
+    assert store.read("silver", "tickets").count() == 4 and store.read("ops", "invalid_records").count() == 2
 
 
 def test_snapshots_replace_only_themselves(spark, tmp_path):
     s = stores.Store(spark, str(tmp_path))
     for hour, n in ((1, 3), (2, 2), (1, 0)):
         s.replace_snapshot(spark.range(n).withColumn("h", F.lit(hour)), "gold", "incident_signals", "time_window", NOW.replace(hour=hour))
-    assert [r["h"] for r in s.snapshots("gold", "incident_signals").collect()] == [2, 2]
+    assert [r["h"] for r in s.read("gold", "incident_signals").collect()] == [2, 2]
 
 
 def test_merges(spark, tmp_path):
     s = stores.Store(spark, str(tmp_path))
     rows = lambda *r: spark.createDataFrame(r, "k int, v string")
-    s.create("ops", "pipeline_runs", rows((0, "x")))
-    s.create("ops", "pipeline_runs", rows((0, "x")))
-    assert s.read("ops", "pipeline_runs").count() == 0
-    s.insert_only(rows((1, "a"), (2, "b")), "ops", "pipeline_runs", ["k"])
-    s.insert_only(rows((2, "c"), (3, "d")), "ops", "pipeline_runs", ["k"])
-    s.update_only(rows((3, "e"), (4, "f")), "ops", "pipeline_runs", ["k"])
-    assert sorted(map(tuple, s.read("ops", "pipeline_runs").collect())) == [(1, "a"), (2, "b"), (3, "e")]
-    s.replace(rows((9, "z")), "ops", "pipeline_runs")
-    assert [tuple(r) for r in s.read("ops", "pipeline_runs").collect()] == [(9, "z")]
+    s.create("ops", "spark_performance_runs", rows((0, "x")))
+    s.create("ops", "spark_performance_runs", rows((0, "x")))
+    assert s.read("ops", "spark_performance_runs").count() == 0
+    s.insert_only(rows((1, "a"), (2, "b")), "ops", "spark_performance_runs", ["k"])
+    s.insert_only(rows((2, "c"), (3, "d")), "ops", "spark_performance_runs", ["k"])
+    s.update_only(rows((3, "e"), (4, "f")), "ops", "spark_performance_runs", ["k"])
+    assert sorted(map(tuple, s.read("ops", "spark_performance_runs").collect())) == [(1, "a"), (2, "b"), (3, "e")]
+    s.replace(rows((9, "z")), "ops", "spark_performance_runs")
+    assert [tuple(r) for r in s.read("ops", "spark_performance_runs").collect()] == [(9, "z")]
     with pytest.raises(ValueError):
         s.path("ops", "nothing")
 
@@ -152,7 +153,7 @@ def test_jobs_end_to_end(spark, tmp_path):
     snapshots.build_operations(s, hour, "r")
     snapshots.build_health(s, hour, "r")
     snapshots.build_incidents(s, hour, "r")
-    assert s.snapshots("gold", "customer_support_health").count() == 20 and s.snapshots("gold", "incident_signals").count() == 4
+    assert s.read("gold", "customer_support_health").count() == 20 and s.read("gold", "incident_signals").count() == 4
     snapshots.build_backfill(s, datetime(2026, 1, 1, tzinfo=UTC), "r")
     counts = snapshots.build_training(s, "r", datetime(2027, 1, 1, tzinfo=UTC), datetime(2025, 7, 1, tzinfo=UTC), datetime(2025, 10, 1, tzinfo=UTC), datetime(2026, 1, 1, tzinfo=UTC))
     assert set(counts) == {"train", "validation", "test"}

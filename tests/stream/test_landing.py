@@ -54,10 +54,10 @@ def test_replay_after_a_crash(spark, tmp_path, monkeypatch):
     batch = spark.createDataFrame([(line("a", 0), "f1"), (line("b", 1), "f1"), ("oops", "f1"), ("oops", "f2")], "value string, _source_file string")
     insert = Store.insert_only
 
-    def torn(self, rows, layer, name, keys):
+    def torn(self, rows, layer, name, *keys):
         if name == "streaming_metrics":
             raise RuntimeError("crash")
-        insert(self, rows, layer, name, keys)
+        insert(self, rows, layer, name, *keys)
 
     monkeypatch.setattr(Store, "insert_only", torn)
     land = lambda: landing.land_batch(store, batch, 0, "s", "r", timedelta(minutes=5))
@@ -83,7 +83,7 @@ def test_generated_stream_replays_without_rejections(spark, tmp_path):
     landing.run_stream(store, str(tmp_path / "src"), f"{tmp_path}/cp", "r", files_per_batch=12)
     p = generate.Profile(customers=10, products=3, tickets=5)
     for name, rows in (("accounts", generate.accounts(spark, p)), ("products", generate.products(spark, p))):
-        rows.write.parquet(store.path("silver", name))
+        store.append(rows, "silver", name)
     done = silver.run(store, "ticket_events", "r", datetime(2027, 1, 1, tzinfo=UTC))
     assert done["quarantine_count"] == 36 and done["accepted_count"] > 100
     state = silver.build_state(store, datetime(2027, 1, 1, tzinfo=UTC), "r")

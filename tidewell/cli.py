@@ -26,6 +26,7 @@ def parser() -> argparse.ArgumentParser:
             one.add_argument(flag, **options)
 
     hour, path = ("--hour", {"type": _hour, "required": True}), ("--path", {"required": True})
+    job("bootstrap")
     job("generate", path, ("--tickets", {"type": int, "default": 10_000}), ("--overwrite", {"action": "store_true"}))
     job("generate-events", path, ("--start", {"type": _hour, "required": True}), ("--batches", {"type": int, "default": 4}))
     job("ingest", path, ("--entity", {"required": True}))
@@ -52,7 +53,9 @@ def main(argv: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName("tidewell").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     store, out = Store(spark, a.root), None
-    if a.job == "generate":
+    if a.job == "bootstrap":
+        out = silver.bootstrap(store)
+    elif a.job == "generate":
         out = generate.write_dataset(spark, a.path, generate.Profile(tickets=a.tickets), a.overwrite)
     elif a.job == "generate-events":
         out = list(map(str, generate.write_batches(a.path, generate.Streamed(100, 6, a.start), a.batches)))
@@ -67,7 +70,7 @@ def main(argv: list[str] | None = None) -> None:
     elif a.job == "training":
         out = snapshots.build_training(store, a.run_id, a.label_as_of, a.train_end, a.validation_end, a.test_end)
     elif a.job == "train":
-        out = learning.train(store.snapshots("ml", "training_dataset"), a.folder)
+        out = learning.train(store.read("ml", "training_dataset"), a.folder, version=store.version("ml", "training_dataset"))
     else:
         rows = skew.benchmark(spark, a.run_id, a.events, a.customers)
         store.replace_snapshot(rows, "ops", "spark_performance_runs", "run_id", a.run_id)

@@ -2,7 +2,7 @@
 
 Peers of a ticket are the other tickets of its customer or product. Neither path joins
 tickets with tickets: the snapshot takes each key's totals less the ticket's own share, the
-backfill takes running sums over the instants of creation and closing.
+backfill takes sums up to an instant over the instants of creation and closing.
 """
 
 from __future__ import annotations
@@ -72,66 +72,57 @@ def features(states: DataFrame, accounts: DataFrame, events: DataFrame, as_of: d
     return rows.select(at(as_of).alias("as_of"), "ticket_id", *[made.get(c, F.col(c)).alias(c) for c in COLUMNS], F.lit(None).cast("boolean").alias("sla_breached"))
 
 
-def lookback(stream: DataFrame, probes: DataFrame, key: str, span: int, sums: dict[str, tuple[Column, int]]) -> DataFrame:
-    """For each probe (ticket_id, key, t): sums over the stream's rows of its key in ``[t - back, t)``, ``back`` by column and ``span`` at most.
+def before(stream: DataFrame, asks: DataFrame, key: str, names: list[str]) -> DataFrame:
+    """For each ask (key, t and what else it has): the sums of ``names`` over the stream's rows (key, t) of its key before ``t``.
 
-    Time is cut into blocks of ``span``; a stream row serves its own block and the next, so even a key with
-    most rows is dealt over many tasks.
+    Sums run inside a key's days on top of its earlier days' totals, so that even a key with most rows is dealt over as many tasks as it has days.
     """
-    block = F.expr(f"floor(t / {span})")
-    measures = [F.when(c, 1).otherwise(0).alias(f"_{n}") for n, (c, _) in sums.items()]
-    rows = stream.select(F.col(key), "t", F.explode(F.array(block, block + 1)).alias("_block"), F.lit(None).cast("string").alias("ticket_id"), *measures)
-    asks = probes.select(F.col(key), "t", block.alias("_block"), "ticket_id", *[F.lit(0).alias(f"_{n}") for n in sums])
-    over = lambda back: Window.partitionBy(key, "_block").orderBy("t").rangeBetween(-back, -1)
-    found = rows.unionByName(asks).select("ticket_id", *[F.coalesce(F.sum(f"_{n}").over(over(back)), F.lit(0)).alias(n) for n, (_, back) in sums.items()])
-    return found.where("ticket_id is not null")
-
-
-def _open_escalated(history: DataFrame, target: DataFrame, key: str, back: int) -> DataFrame:
-    """For each target: escalated tickets of its key created within ``back`` and still open at its instant. Open
-    spans are cut into days, which the targets meet by day."""
-    end = F.least(F.coalesce(us("closed_at"), us("created_at") + F.lit(back)), us("created_at") + F.lit(back))
-    spans = history.where("escalated").select(F.col(key), us("created_at").alias("c"), us("closed_at").alias("x"), F.explode(F.sequence(F.expr(f"unix_micros(created_at) div {DAY}"), F.floor(end / DAY).cast("bigint"))).alias("d"))
-    asks = target.select("ticket_id", F.col(key), us("as_of").alias("t")).withColumn("d", F.expr(f"t div {DAY}"))
-    near = asks.join(spans, [key, "d"]).where(f"c < t and c >= t - {back} and (x is null or x >= t)")
-    return near.groupBy("ticket_id").agg(F.count("*").alias("open_escalated"))
+    own = [c for c in asks.columns if c not in (key, "t")]
+    day = F.floor(F.col("t") / F.lit(DAY)).alias("_day")
+    rows = stream.select(key, "t", day, *[F.col(n).cast("bigint").alias(n) for n in names], F.lit(None).cast(asks.select(F.struct(*own)).schema[0].dataType).alias("_ask"))
+    rows = rows.unionByName(asks.select(key, "t", day, *[F.lit(0).cast("bigint").alias(n) for n in names], F.struct(*own).alias("_ask")))
+    days = rows.groupBy(key, "_day").agg(*[F.sum(n).alias(f"_{n}") for n in names])
+    earlier = Window.partitionBy(key).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    days = days.select(key, "_day", *[F.coalesce(F.sum(f"_{n}").over(earlier), F.lit(0)).alias(f"_{n}") for n in names])
+    inside = Window.partitionBy(key, "_day").orderBy("t").rangeBetween(Window.unboundedPreceding, -1)
+    found = rows.select(key, "_day", "_ask", *[F.coalesce(F.sum(n).over(inside), F.lit(0)).alias(n) for n in names]).where("_ask is not null")
+    return found.join(days, [key, "_day"]).select("_ask.*", *[(F.col(n) + F.col(f"_{n}")).alias(n) for n in names])
 
 
 def _before(history: DataFrame, target: DataFrame, key: str, count_back: int, escalation_back: int, breach_back: int) -> DataFrame:
+    """ticket_id, peers and their rates at each target's instant, from sums at that instant less sums at the windows' beginnings."""
     known = history.where(F.col(key).isNotNull())
-    span = max(count_back, escalation_back, breach_back)
-    event = lambda moment, kind: known.where(F.col(moment).isNotNull()).select(F.col(key), us(moment).alias("t"), F.lit(kind).alias("kind"), "escalated", (F.col("closed_at") > F.col("sla_deadline")).alias("breach"))
-    stream = event("created_at", "c").unionByName(event("closed_at", "x"))
-    created, closed = F.col("kind") == "c", F.col("kind") == "x"
-    sums = {
-        "n": (created, count_back),
-        "en": (created, escalation_back),
-        "e": (created & F.coalesce("escalated", F.lit(False)), escalation_back),
-        "bn": (closed & F.col("breach").isNotNull(), breach_back),
-        "b": (closed & F.coalesce("breach", F.lit(False)), breach_back),
-    }
-    asks = target.where(F.col(key).isNotNull()).select("ticket_id", F.col(key), us("as_of").alias("t"))
-    found = lookback(stream, asks, key, span, sums).join(_open_escalated(known, target, key, escalation_back), "ticket_id", "left")
+    breach = F.col("closed_at") > F.col("sla_deadline")
+    zero = {n: F.lit(0) for n in ("n", "e", "bn", "b", "gone")}
+    event = lambda t, **sums: known.select(key, us(t).alias("t"), *[v.alias(n) for n, v in (zero | sums).items()]).where("t is not null")
+    flag = lambda c: F.coalesce(c, F.lit(False)).cast("bigint")
+    # An escalated ticket is closed and in the window from its close until its creation leaves the window.
+    leaves = F.timestamp_micros(us("created_at") + F.lit(escalation_back))
+    shows = flag(F.col("escalated") & (F.col("closed_at") < leaves))
+    stream = event(F.col("created_at"), n=F.lit(1)).unionByName(event(F.greatest("closed_at", "created_at"), gone=F.when(F.col("closed_at").isNotNull(), shows).otherwise(0)))
+    stream = stream.unionByName(event(F.col("closed_at"), bn=flag(breach.isNotNull()), b=flag(breach))).unionByName(event(leaves, gone=-shows))
+    backs = {"": 0, "_count": count_back, "_escalation": escalation_back, "_breach": breach_back}
+    asks = target.where(F.col(key).isNotNull()).select("ticket_id", key, F.explode(F.array(*[F.struct(F.lit(n).alias("at"), (us("as_of") - F.lit(b)).alias("t")) for n, b in backs.items()])).alias("a")).select("ticket_id", key, "a.*")
+    sums = before(stream, asks, key, ["n", "bn", "b", "gone"])
+    value = lambda n, when: F.max(F.when(F.col("at") == when, F.col(n)))
+    found = sums.groupBy("ticket_id").agg(
+        (value("n", "") - value("n", "_count")).alias("n"), (value("n", "") - value("n", "_escalation")).alias("en"), value("gone", "").alias("e"),
+        *[(value(n, "") - value(n, "_breach")).alias(n) for n in ("bn", "b")],
+    )
     # The ticket itself was created in every window and is open still.
-    closed_escalated = F.col("e") - F.coalesce("open_escalated", F.lit(0))
-    return found.select(
-        "ticket_id",
-        (F.col("n") - 1).alias("peers"),
-        F.when(F.col("bn") > 0, F.col("b") / F.col("bn")).alias("breach_rate"),
-        F.when(F.col("en") > 1, closed_escalated / (F.col("en") - 1)).alias("escalation_rate"),
-    )
+    return found.select("ticket_id", (F.col("n") - 1).alias("peers"), F.when(F.col("bn") > 0, F.col("b") / F.col("bn")).alias("breach_rate"), F.when(F.col("en") > 1, F.col("e") / (F.col("en") - 1)).alias("escalation_rate"))
 
 
-def backfill(tickets: DataFrame, contracts: DataFrame, accounts: DataFrame, before: datetime) -> DataFrame:
-    """Features of tickets created before ``before``, each at the first whole hour after its creation, from what was visible then.
+def backfill(tickets: DataFrame, contracts: DataFrame, accounts: DataFrame, until: datetime) -> DataFrame:
+    """Features of tickets created before ``until``, each at the first whole hour after its creation, from what was visible then.
 
     For periods without events: a ticket counts as open by its close alone, and its escalation shows only once it is closed.
     """
-    before = exact_hour(before)
-    source = tickets.where(F.col("created_at") < at(before)).withColumn("as_of", F.timestamp_micros(us(F.date_trunc("hour", "created_at")) + F.lit(HOUR)))
+    until = exact_hour(until)
+    source = tickets.where(F.col("created_at") < at(until)).withColumn("as_of", F.timestamp_micros(us(F.date_trunc("hour", "created_at")) + F.lit(HOUR)))
     history = with_contract(source, contracts).withColumn("support_tier", F.col("contract.support_tier"))
     history = history.withColumn("sla_deadline", F.timestamp_micros(us("created_at") + F.col("contract.resolution_sla_minutes").cast("bigint") * F.lit(MINUTE))).drop("contract")
-    target = history.where((F.col("as_of") < at(before)) & (F.col("closed_at").isNull() | (F.col("closed_at") >= F.col("as_of"))))
+    target = history.where((F.col("as_of") < at(until)) & (F.col("closed_at").isNull() | (F.col("closed_at") >= F.col("as_of"))))
     customer = _before(history, target, "customer_id", 30 * DAY, 90 * DAY, 90 * DAY).toDF("ticket_id", "customer_ticket_count_30d", "customer_breach_rate_90d", "customer_escalation_rate_90d")
     product = _before(history, target, "product_id", DAY, DAY, 7 * DAY).toDF("ticket_id", "product_ticket_count_24h", "product_breach_rate_7d", "product_escalation_rate_24h")
     rows = target.join(accounts.select("customer_id", F.col("segment").alias("customer_segment")), "customer_id", "left").join(customer, "ticket_id", "left").join(product, "ticket_id", "left")
@@ -156,4 +147,4 @@ def before_boundary(hour: datetime) -> datetime:
     return exact_hour(hour) - timedelta(microseconds=1)
 
 
-__all__ = ["COLUMNS", "backfill", "before_boundary", "check_backfill", "event_counts", "features", "lookback", "micros", "peers"]
+__all__ = ["COLUMNS", "backfill", "before", "before_boundary", "check_backfill", "event_counts", "features", "micros", "peers"]

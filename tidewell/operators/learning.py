@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import json
 from datetime import datetime
-from pathlib import Path
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import at, exact_hour
+from ..sources.store import Files
 from .features import COLUMNS
 
 SPLITS = ("train", "validation", "test")
@@ -18,7 +18,7 @@ NUMBERS = tuple(c for c in COLUMNS if c not in CATEGORIES)
 #: Acceptance: multiple of prevalence for PR-AUC, least ROC-AUC, least recall.
 GATE = {"pr_auc": 1.2, "roc_auc": 0.60, "recall": 0.30}
 #: Buckets of a score in which running sums are dealt out.
-SCORE_BUCKETS = 1024
+SCORE_BUCKETS = 64
 
 
 def check_periods(label_as_of: datetime, train_end: datetime, validation_end: datetime, test_end: datetime) -> list[datetime]:
@@ -51,25 +51,37 @@ def split_counts(frame: DataFrame) -> DataFrame:
     return frame.groupBy("split").agg(F.count("*").alias("rows"), F.sum("label").cast("bigint").alias("breaches"))
 
 
+def cohorts(frame: DataFrame) -> DataFrame:
+    """By split: rows, breaches, rows of an unknown split or label, rows of tickets that other rows have too, and whether the split can be used."""
+    known = F.coalesce(F.col("label").isin(0, 1) & F.col("split").isin(*SPLITS), F.lit(False))
+    # Rows of a ticket are counted map-side first, by split, so that a repeat in another split shows too.
+    by_ticket = frame.groupBy("ticket_id", "split").agg(F.count("*").alias("n"), F.count_if(F.col("label") == 1).alias("breaches"), F.count_if(~known).alias("unknown"))
+    again = by_ticket.groupBy("ticket_id").agg(F.sum("n").alias("all"))
+    rows = by_ticket.join(again.withColumnRenamed("ticket_id", "_id"), F.col("ticket_id").eqNullSafe(F.col("_id")))
+    out = rows.groupBy("split").agg(F.sum("n").alias("rows"), F.sum("breaches").alias("breaches"), F.sum("unknown").alias("unknown"), F.sum(F.when(F.col("all") > 1, F.col("n")).otherwise(0)).alias("repeated"))
+    return out.withColumn("usable", (F.col("breaches") > 0) & (F.col("breaches") < F.col("rows")) & (F.col("unknown") == 0) & (F.col("repeated") == 0))
+
+
 def check_cohorts(frame: DataFrame) -> dict[str, dict[str, int]]:
     """Rows and breaches by split. Unknown splits or labels, repeated tickets and splits of one class are refused."""
-    total = frame.agg(F.count("*").alias("n"), F.count_distinct("ticket_id").alias("ids"), F.count_if(~F.coalesce(F.col("label").isin(0, 1) & F.col("split").isin(*SPLITS), F.lit(False))).alias("bad")).first()
-    if total["bad"] or total["ids"] != total["n"]:
+    found = {r["split"]: r for r in cohorts(frame).collect()}  # a row a split
+    if any(r["unknown"] or r["repeated"] for r in found.values()):
         raise ValueError("the training data has unknown labels or splits, or a ticket twice")
-    found = {r["split"]: {"rows": r["rows"], "breaches": r["breaches"]} for r in split_counts(frame).collect()}
     for split in SPLITS:
-        if split not in found or not 0 < found[split]["breaches"] < found[split]["rows"]:
+        if split not in found or not found[split]["usable"]:
             raise ValueError(f"{split} needs both classes")
-    return found
+    return {split: {"rows": r["rows"], "breaches": r["breaches"]} for split, r in found.items()}
 
 
 def curve(scored: DataFrame) -> DataFrame:
     """For each distinct score (``score`` in 0..1, ``label`` 0 or 1): rows and positives at it and at it or above.
 
-    Sums run inside score buckets on top of the buckets' totals, so no task gets all scores.
+    Sums run inside buckets of about equally many scores, on top of the buckets' totals, so no task gets all scores however close they lie.
     """
     at_score = scored.groupBy("score").agg(F.count("*").alias("n"), F.sum("label").cast("bigint").alias("pos"))
-    at_score = at_score.withColumn("_b", F.least(F.floor(F.col("score") * SCORE_BUCKETS), F.lit(SCORE_BUCKETS - 1)))
+    # One row with the cuts between the buckets.
+    cuts = at_score.agg(F.percentile_approx("score", [i / SCORE_BUCKETS for i in range(1, SCORE_BUCKETS)], 10 * SCORE_BUCKETS).alias("_cuts"))
+    at_score = at_score.crossJoin(F.broadcast(cuts)).withColumn("_b", F.size(F.filter("_cuts", lambda c: c < F.col("score")))).drop("_cuts")
     above = Window.orderBy(F.desc("_b")).rowsBetween(Window.unboundedPreceding, -1)
     totals = at_score.groupBy("_b").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos"))
     totals = totals.select("_b", F.coalesce(F.sum("n").over(above), F.lit(0)).alias("_n"), F.coalesce(F.sum("pos").over(above), F.lit(0)).alias("_pos"))
@@ -162,17 +174,20 @@ def prepared(frame: DataFrame) -> DataFrame:
     return frame.select("ticket_id", "split", "label", *numbers, *[F.coalesce(c, F.lit("unknown")).alias(c) for c in CATEGORIES])
 
 
-def train(frame: DataFrame, folder: str | None = None, names: tuple[str, ...] = ("logistic_regression", "gradient_boosted_tree")) -> dict:
-    """Fit the candidates on train, pick by validation, and gate on test. Training stays on the executors. ``folder`` gets a JSON manifest."""
+def train(frame: DataFrame, folder: str | None = None, names: tuple[str, ...] = ("logistic_regression", "gradient_boosted_tree"), version: int | None = None) -> dict:
+    """Fit the candidates on train, pick by validation, and gate on test. Training stays on the executors.
+
+    ``folder``, on any file system, gets the chosen pipeline as ``model`` and a JSON manifest, which names the training table's ``version`` to read it again.
+    """
     from pyspark.ml.functions import vector_to_array
 
-    cohorts = check_cohorts(frame)
+    cohort = check_cohorts(frame)
     rows = prepared(frame).cache()
     fingerprint = frame.agg(F.count("*").alias("rows"), F.sum(F.xxhash64("ticket_id", "as_of", "label").cast("decimal(38,0)")).cast("string").alias("hash")).first().asDict()
     part = {s: rows.where(F.col("split") == s) for s in SPLITS}
-    results, thresholds = {}, {}
+    results, thresholds, fitted = {}, {}, {}
     for name in names:
-        model = candidates(cohorts["train"]["rows"])[name].fit(part["train"])
+        model = fitted[name] = candidates(cohort["train"]["rows"])[name].fit(part["train"])
         scored = {s: model.transform(part[s]).select("label", vector_to_array("probability")[1].alias("score")).cache() for s in SPLITS[1:]}
         thresholds[name] = best_threshold(scored["validation"]).first()["threshold"]
         results[name] = {s: evaluate(scored[s], thresholds[name]) for s in scored}
@@ -180,10 +195,10 @@ def train(frame: DataFrame, folder: str | None = None, names: tuple[str, ...] =
             s.unpersist()
     rows.unpersist()
     chosen = choose(results)
-    prevalence = cohorts["test"]["breaches"] / cohorts["test"]["rows"]
+    prevalence = cohort["test"]["breaches"] / cohort["test"]["rows"]
     failures = gate_failures(results[chosen]["test"], prevalence)
-    out = {"cohorts": cohorts, "data": fingerprint, "metrics": results, "thresholds": thresholds, "chosen": chosen, "prevalence": prevalence, "failures": failures, "accepted": not failures}
+    out = {"cohorts": cohort, "data": fingerprint | {"version": version}, "metrics": results, "thresholds": thresholds, "chosen": chosen, "prevalence": prevalence, "failures": failures, "accepted": not failures}
     if folder:
-        Path(folder).mkdir(parents=True, exist_ok=True)
-        (Path(folder) / "manifest.json").write_text(json.dumps(out, indent=2, default=str))
+        fitted[chosen].write().overwrite().save(f"{folder}/model")
+        Files(frame.sparkSession).write(f"{folder}/manifest.json", json.dumps(out, indent=2, default=str), overwrite=True)
     return out

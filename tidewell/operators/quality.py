@@ -103,7 +103,9 @@ def classify(rows: DataFrame, entity: str, now: datetime, customers: DataFrame |
     seen = evaluate(rows, entity, now, tolerance)
     state = F.when(F.size("reasons") > 0, QUARANTINED).when(F.col("_existing"), DUPLICATE).otherwise(ACCEPTED)
     seen = seen.withColumn("disposition", state)
-    first = Window.partitionBy(f"record.{key}", "disposition").orderBy("_ingested_at", "_record_hash")
+    # Only accepted rows compete, and all of them have a key; the others are dealt out by their hash.
+    rivals = F.when(F.col("disposition") == ACCEPTED, F.col(f"record.{key}")).otherwise(F.col("_record_hash"))
+    first = Window.partitionBy(rivals, "disposition").orderBy("_ingested_at", "_record_hash")
     seen = seen.withColumn("_n", F.row_number().over(first))
     seen = seen.withColumn("disposition", F.when((F.col("disposition") == ACCEPTED) & (F.col("_n") > 1), DUPLICATE).otherwise(F.col("disposition")))
     reason = F.when(F.size("reasons") > 0, F.array_join("reasons", "; "))

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from datetime import UTC, datetime, timedelta
+from hashlib import sha256
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .. import schema
 from ..operators import quality
@@ -35,9 +37,9 @@ def run(store: Store, entity: str, run_id: str, now: datetime | None = None, tol
         done = store.read("ops", "quality_metrics").where((F.col("pipeline_run_id") == run_id) & (F.col("source") == entity)).first()
         if done:
             return done.asDict()
-    stage = f"{store.path('ops', 'silver_evaluations')}/{entity}/run={run_id}"
-    files, where = store._fs(f"{stage}/_SUCCESS")
-    if not files.exists(where):
+    # Any run id may be given; its hash is safe in a path.
+    stage = f"{store.path('ops', 'silver_evaluations')}/{entity}/run={sha256(run_id.encode()).hexdigest()[:32]}"
+    if not store.files.exists(f"{stage}/_SUCCESS"):
         rows = store.read("bronze", entity)
         decided = quality.classify(rows, entity, now, _known(store, "accounts"), _known(store, "products"), _known(store, entity), tolerance)
         decided.withColumn("detected_at", F.lit(now)).write.mode("overwrite").parquet(stage)
@@ -62,6 +64,20 @@ def run_all(store: Store, run_id: str, now: datetime | None = None, tolerance: t
     return done
 
 
+def bootstrap(store: Store) -> list[str]:
+    """The landing and validated tables of all entities, empty, where they aren't there yet; the names of those made."""
+    lineage = StructType.fromDDL(", ".join(f"{c} {t}" for c, t in schema.METADATA))
+    judged = StructType.fromDDL("_validated_at timestamp, _validation_run_id string")
+    made = []
+    for entity in schema.ORDER:
+        for layer, kind in (("bronze", [*schema.raw(entity), *lineage]), ("silver", [*schema.typed(entity), *lineage, *judged])):
+            # The stream lays out its own landing table.
+            if (layer, entity) != ("bronze", "ticket_events") and not store.exists(layer, entity):
+                store.create(layer, entity, store.spark.createDataFrame([], StructType(kind)))
+                made.append(f"{layer}.{entity}")
+    return made
+
+
 def states(store: Store, as_of: datetime):
     return ticket_state(_known(store, "tickets"), _known(store, "ticket_events"), _known(store, "contracts"), as_of)
 

@@ -44,20 +44,20 @@ def build_features(store: Store, as_of: datetime, run_id: str) -> None:
 
 
 def build_backfill(store: Store, before: datetime, run_id: str) -> None:
-    """Backfilled features stand in a snapshot of their own, which a repeated backfill replaces."""
+    """Backfilled features replace those of earlier backfills before the same instant; later ones and operational snapshots stay."""
     before = exact_hour(before)
     if not run_id.strip():
         raise ValueError("the run id must not be empty")
-    known = store.snapshots("gold", "ticket_features") if store.exists("gold", "ticket_features") else None
+    known = store.read("gold", "ticket_features") if store.exists("gold", "ticket_features") else None
     features.check_backfill(silver._known(store, "ticket_events"), known, before)
     rows = features.backfill(silver._known(store, "tickets"), silver._known(store, "contracts"), silver._known(store, "accounts"), before)
-    store.replace_snapshot(rows.withColumn("_pipeline_run_id", F.lit(f"backfill_{run_id}")), "gold", "ticket_features", "as_of", "backfill")
+    store.replace_range(rows.withColumn("_pipeline_run_id", F.lit(f"backfill_{run_id}")), "gold", "ticket_features", "as_of", before, "backfill")
 
 
 def build_training(store: Store, run_id: str, label_as_of: datetime, train_end: datetime, validation_end: datetime, test_end: datetime) -> dict[str, int]:
     periods = label_as_of, train_end, validation_end, test_end
     learning.check_periods(*periods)
-    rows = learning.training_frame(store.snapshots("gold", "ticket_features"), silver.states(store, exact_hour(label_as_of)), *periods)
+    rows = learning.training_frame(store.read("gold", "ticket_features"), silver.states(store, exact_hour(label_as_of)), *periods)
     _publish(store, rows, "training_dataset", "label_as_of", exact_hour(label_as_of), run_id, "ml")
-    made = store.snapshots("ml", "training_dataset").where(F.col("label_as_of") == F.lit(exact_hour(label_as_of)))
+    made = store.read("ml", "training_dataset").where(F.col("label_as_of") == F.lit(exact_hour(label_as_of)))
     return {r["split"]: r["rows"] for r in learning.split_counts(made).collect()}

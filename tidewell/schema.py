@@ -28,6 +28,7 @@ FIELDS = {
     ),
 }
 KEYS = {"tickets": "ticket_id", "ticket_events": "event_id", "accounts": "customer_id", "contracts": "contract_id", "products": "product_id"}
+# Fixed values.
 ENUMS = {
     "priority": ("P1", "P2", "P3", "P4"),
     "support_tier": ("Standard", "Enhanced", "Premium"),
@@ -37,14 +38,15 @@ ENUMS = {
 ACTIVE = ("in_progress", "open", "pending_customer")
 STATUSES = (*ACTIVE, "resolved", "closed")
 EVENT_TYPES = ("ticket_created", "agent_assigned", "priority_changed", "status_changed", "customer_replied", "agent_replied", "engineering_escalated", "ticket_resolved", "ticket_reopened")
+# Lineage columns.
 METADATA = (("_ingested_at", "timestamp"), ("_source_file", "string"), ("_pipeline_run_id", "string"), ("_record_hash", "string"))
 LAYERS = ("bronze", "silver", "gold", "ml", "ops")
 TABLES = {
     "bronze": ("tickets", "ticket_events", "accounts", "contracts", "products"),
     "silver": ("tickets", "ticket_events", "accounts", "contracts", "products", "ticket_state"),
-    "gold": ("support_operations", "ticket_features", "customer_support_health", "incident_signals", "ticket_risk_scores", "ticket_investigations"),
+    "gold": ("support_operations", "ticket_features", "customer_support_health", "incident_signals"),
     "ml": ("training_dataset",),
-    "ops": ("invalid_records", "quality_metrics", "streaming_metrics", "silver_evaluations", "spark_performance_runs", "pipeline_runs"),
+    "ops": ("invalid_records", "quality_metrics", "streaming_metrics", "silver_evaluations", "spark_performance_runs"),
 }
 #: Entities in the order in which references need them.
 ORDER = ("products", "accounts", "contracts", "tickets", "ticket_events")

@@ -59,18 +59,10 @@ def running_watermark(rows: DataFrame, batch: str, tolerance: timedelta) -> Data
     return tops.select(batch, F.timestamp_micros(F.max("top").over(before) - F.lit(micros)).alias("watermark"))
 
 
-def land_batch(store: Store, batch: DataFrame, batch_id: int, stream: str, run_id: str, tolerance: timedelta) -> None:
-    """Land one batch of lines (value, _source_file). A finished batch is skipped; an interrupted one ends with the same counts."""
-    spark = batch.sparkSession
-    done = store.exists("ops", "streaming_metrics")
-    known = store.read("ops", "streaming_metrics").where(F.col("stream_name") == stream) if done else None
-    if done and not known.where(F.col("batch_id") == batch_id).isEmpty():
-        return
-    prior = known.where(F.col("batch_id") < batch_id).agg(us(F.max("max_event_time"))).first()[0] if done else None
-    watermark = None if prior is None else prior - tolerance // timedelta(microseconds=1)
-    lineage = f"{stream}/{batch_id}"
+def labelled(lines: DataFrame, lineage: str, watermark: int | None) -> DataFrame:
+    """Parsed lines (value, _source_file) with the label of late ones, which null times don't get, lineage and hash; of equal contents the one from the first file."""
     late = F.lit(False) if watermark is None else us(event_time()) < F.lit(watermark)
-    rows = parse(batch).select(
+    rows = parse(lines).select(
         *FIELDS,
         CORRUPT,
         F.when(event_time().isNotNull(), late).alias("_is_late"),
@@ -79,20 +71,43 @@ def land_batch(store: Store, batch: DataFrame, batch_id: int, stream: str, run_i
         F.lit(lineage).alias("_pipeline_run_id"),
         event_hash().alias("_record_hash"),
     )
-    # Of equal contents in a batch the one from the first file stays, whatever the order of reading.
     rank = Window.partitionBy("_record_hash").orderBy("_source_file")
-    once = rows.withColumn("_n", F.row_number().over(rank)).where("_n = 1").drop("_n")
-    store.insert_only(once, "bronze", "ticket_events", ["_record_hash"])
-    mine = store.read("bronze", "ticket_events").where(F.col("_pipeline_run_id") == lineage)
-    seen = mine.agg(
+    return rows.withColumn("_n", F.row_number().over(rank)).where("_n = 1").drop("_n")
+
+
+def counters(landed: DataFrame) -> DataFrame:
+    """One row of what a batch left: rows written, malformed and late ones, the greatest event time, and when it was landed."""
+    return landed.agg(
         F.count("*").alias("written"),
         F.count_if(F.col(CORRUPT).isNotNull()).alias("malformed"),
         F.count_if("_is_late").alias("late"),
         # An event of the future doesn't move the watermark.
         F.max(F.when(event_time() <= F.col("_ingested_at"), us(event_time()))).alias("top"),
         us(F.max("_ingested_at")).alias("at"),
-    ).first()
-    read = rows.count()
+    )
+
+
+def land_batch(store: Store, batch: DataFrame, batch_id: int, stream: str, run_id: str, tolerance: timedelta) -> None:
+    """Land one batch of lines (value, _source_file). A finished batch is skipped; an interrupted one ends with the same counts.
+
+    A batch is one labelled part of the table, there whole or not at all. Equal contents have equal event times, so a batch
+    is held against the days it touches and not against the whole table.
+    """
+    spark = batch.sparkSession
+    done = store.exists("ops", "streaming_metrics")
+    known = store.read("ops", "streaming_metrics").where(F.col("stream_name") == stream) if done else None
+    if done and not known.where(F.col("batch_id") == batch_id).isEmpty():
+        return
+    prior = known.where(F.col("batch_id") < batch_id).agg(us(F.max("max_event_time"))).first()[0] if done else None
+    watermark = None if prior is None else prior - tolerance // timedelta(microseconds=1)
+    lineage = f"{stream}/{batch_id}"
+    mine = store.labelled("bronze", "ticket_events", lineage)
+    if mine is None:
+        day = F.coalesce(F.date_format(event_time(), "yyyyMMdd"), F.lit("none"))
+        store.insert_only(labelled(batch, lineage, watermark), "bronze", "ticket_events", ["_record_hash"], lineage, day)
+        mine = store.labelled("bronze", "ticket_events", lineage)
+    seen = counters(mine).first()
+    read = parse(batch).count()
     top = max((x for x in (prior, seen["top"]) if x is not None), default=None)
     row = [stream, batch_id, run_id, read, seen["written"], read - seen["written"], seen["malformed"], seen["late"], seen["top"], top, watermark, seen["at"], None, None, None]
     ddl = _METRICS.replace(" timestamp", " bigint")
