@@ -64,8 +64,8 @@ walk as (
             coalesce(w.status is not null and q.t >= w.created and case d.need when 'any' then true when 'live' then w.status in {_LIVE} and (q.kind <> 'agent_assigned' or coalesce(q.agent, q.val) is not null)
                 when 'ended' then w.status not in {_LIVE} when 'move' then w.status in {_LIVE} and q.val in {_LIVE} or w.status = 'resolved' and q.val = 'closed' else false end, false) as ok
         from walk w join queue q on q.ticket_id = w.ticket_id and q.n = w.n + 1 left join needs d on d.kind = q.kind) s(ticket_id, old_n, customer_id, product_id, status, priority, agent, created, updated, resolved, messages, reopens, escalations, applied, rejected, n, kind, t, val, ea, ec, ep, birth, ok)),
-folded as (select * from (select *, row_number() over (partition by ticket_id order by n desc) as last from walk) where last = 1 and status is not null),
-states as (select f.*, contract_id, support_tier, resolution, created + resolution * 60000000 as due, cast(floor((created + resolution * 60000000 - coalesce(resolved, {at})) / 60000000) as bigint) as left_, greatest(0, cast(floor((coalesce(resolved, {at}) - created) / 60000000) as bigint)) as age
+folded as materialized (select * from (select *, row_number() over (partition by ticket_id order by n desc) as last from walk) where last = 1 and status is not null),
+states as materialized (select f.*, contract_id, support_tier, resolution, created + resolution * 60000000 as due, cast(floor((created + resolution * 60000000 - coalesce(resolved, {at})) / 60000000) as bigint) as left_, greatest(0, cast(floor((coalesce(resolved, {at}) - created) / 60000000) as bigint)) as age
     from (select f.ticket_id, c.contract_id, c.support_tier, c.resolution, row_number() over (partition by f.ticket_id order by c.effective_from desc nulls last, c.contract_id desc nulls last) as r
         from folded f left join contracts c on c.customer_id = f.customer_id and c.priority = f.priority and cast(make_timestamp(f.created) as date) between c.effective_from and coalesce(c.effective_to, date '9999-12-31')) x join folded f using (ticket_id) where r = 1)"""
 
@@ -109,6 +109,25 @@ select hour, product_id, coalesce(s.support_tier, 'unknown') as support_tier, co
 from s left join accounts a using (customer_id) where status in {_LIVE} or fresh or done group by 1, 2, 3, 4"""
 
 
+def _operations_totals() -> str:
+    level = lambda p: f"cast(sum(coalesce(c.{p}, 0) - coalesce(x.{p}, 0)) over (order by h.h) as bigint)"
+    return _with(DOMAIN, recursive=False) + f""",
+t as (select created // 3600000000 as c, closed // 3600000000 as x, priority, final_status in {_LIVE} as stays, closed from tickets),
+h as (select unnest(range((select min(c) from t), (select greatest(max(c), max(x)) + 1 from t))) as h),
+c as (select c as h, count(*) as n, count(*) filter (where closed is null or stays or x > c) as o, count(*) filter (where (closed is null or stays or x > c) and priority = 'P1') as p1, count(*) filter (where (closed is null or stays or x > c) and priority = 'P2') as p2 from t group by 1),
+x as (select x as h, count(*) as n, count(*) filter (where not stays and x > c) as o, count(*) filter (where not stays and x > c and priority = 'P1') as p1, count(*) filter (where not stays and x > c and priority = 'P2') as p2 from t where x >= c group by 1)
+select * from (select h.h * 3600000000 as hour, cast(coalesce(c.n, 0) as bigint) as tickets_created, cast(coalesce(x.n, 0) as bigint) as tickets_resolved, {level("o")} as open_backlog, {level("p1")} as p1_ticket_count, {level("p2")} as p2_ticket_count
+    from h left join c on c.h = h.h left join x on x.h = h.h) where tickets_created + tickets_resolved + open_backlog > 0"""
+
+
+_LANDED = """, k as (select *, k * 3 // (select max(event_id) + 1 from events) as own, k % 50 in (1, 2, 3, 4) as bad, case k % 50 when 1 then 'n' when 2 then 'b' when 3 then 'l' when 4 then 'j' || k else 'e' || k end as what from happenings where k % 50 <> 5),
+lines as (select *, own as b from k union all select *, own from k where k % 10 = 0 union all select *, own + 1 from k where k % 10 = 0 and own < 2),
+-- A malformed line is known by its file too.
+once as (select min(b) as b, any_value(event_id) as event_id, bad, any_value(t // 1000 * 1000) as t from lines group by what, bad, case when bad then b end),
+marks as (select b, max(max(t) filter (where not bad)) over (order by b) as top from once group by b),
+landed as (select o.*, m.top - 3600000000 as mark from once o left join marks m on m.b = o.b - 1)"""
+
+
 def _health() -> str:
     at = _us(HEALTH)
     live, recent, done = f"status in {_LIVE}", f"created >= {at - 90 * _DAY}", f"(coalesce(resolved, -1) >= {at - 90 * _DAY} and coalesce(resolved, -1) < {at})"
@@ -144,7 +163,7 @@ def _event_counts(at: int) -> str:
 def _peer(key: str, at: int, days: tuple[int, int, int]) -> str:
     count, esc, breach = (at - d * _DAY for d in days)
     return f"""(select a.ticket_id, count(*) filter (where p.created >= {count}) as peers, {_RATE("(p.resolved > p.due)", f"p.resolved >= {breach}")} as breach_rate, {_RATE("(p.escalations > 0)", f"p.created >= {esc}")} as escalation_rate
-    from states a left join states p on p.{key} = a.{key} and p.ticket_id <> a.ticket_id where a.status in {_LIVE} group by 1)"""
+    from (select ticket_id, {key} from states where status in {_LIVE}) a left join states p on p.{key} = a.{key} and p.ticket_id <> a.ticket_id group by 1)"""
 
 
 def _features() -> str:
@@ -217,7 +236,8 @@ select support_tier, count(*) as joined_count, cast(sum(event_id) as bigint) as
     cast(escalations as bigint) as escalation_count, cast(applied as bigint) as applied_event_count, cast(rejected as bigint) as rejected_event_count, age as minutes_open, cast({as_of} as bigint) as state_as_of from states where applied + rejected > 0""",
         "op_state_summary": _with(DOMAIN, states(as_of)) + " select count(*) as tickets, cast(coalesce(sum(applied), 0) as bigint) as applied_events, cast(coalesce(sum(rejected), 0) as bigint) as rejected_events, count(*) filter (where left_ < 0) as breaches, count(*) filter (where due is null) as without_sla from states",
         "op_operations_hour": _operations_hour(),
-        "op_operations_all_hours": _operations_range(),
+        "op_operations_range": _operations_range(),
+        "op_operations_all_hours": _operations_totals(),
         "op_health_snapshot": _health(),
         "op_incident_hour": _incident_hour(),
         "op_incident_signals": _INCIDENTS,
@@ -244,23 +264,29 @@ select support_tier, count(*) as joined_count, cast(sum(event_id) as bigint) as
         "op_first_candidate": tickets + " select id as ticket_id, _record_hash from tried where disposition = 'accepted'",
         "op_ref_exists": tickets + " select cust in (select customer_id from accounts) as customer_exists, product_id in (select product_id from products) as product_exists, count(*) as rows from raw group by 1, 2",
         "op_content_hash": """select n_nationkey, sha256('{"n_nationkey":' || n_nationkey || ',"n_name":"' || n_name || '","n_regionkey":' || n_regionkey || '}') as record_hash from nation""",
-        "op_insert_only_merge": "select c_custkey, case when c_custkey % 3 = 0 then 'old' else 'new' end as version from customer where c_custkey % 3 = 0 or c_custkey % 2 = 0",
-        "op_update_only_merge": "select c_custkey, round(case when c_custkey % 2 = 0 then c_acctbal + 1 else c_acctbal end, 6) as c_acctbal from customer where c_custkey % 3 = 0",
-        "op_replace_snapshot": "select cast(cast(ts as date) as varchar) as day, count(*) as n from events where event_id % 2 = 0 or cast(ts as date) = date '2024-01-05' group by 1",
+        "op_insert_only_merge": "select c_custkey, case when c_acctbal >= 0 then 'held' else 'offered' end as version from customer",
+        "op_update_only_merge": "select c_custkey, coalesce(n, -1) as orders from customer left join (select o_custkey, count(*) as n from orders group by 1) on o_custkey = c_custkey",
+        "op_replace_snapshot": "select event_type, user_id, case when event_type = 'click' then max(event_id) else count(*) end as n from events where event_type in ('signup', 'click', 'error', 'purchase') group by 1, 2",
+        "op_replace_range": f"""with d as (select epoch_us(date_trunc('day', ts)) as as_of, count(*) as c, max(event_id) as m from events group by 1)
+    select as_of, case when as_of < {_us(HOUR)} then m else c end as n, case when as_of >= {as_of} then 'live' when as_of < {_us(HOUR)} then 'second' else 'first' end as origin from d""",
+        "op_time_travel": "select n_nationkey, n_name, cast(1 as bigint) as version from nation union all select n_nationkey, reverse(n_name), 2 from nation",
+        "op_validation_run": tickets.replace("when cast(substr(id, 5) as bigint) % 10 = 0 then 'rejected_duplicate' ", "") + """ select count(*) filter (where disposition = 'accepted') as silver_rows, count(distinct case when disposition = 'accepted' then id end) as silver_tickets, count(*) filter (where disposition = 'quarantined') as invalid_rows,
+    count(*) as records_read, count(*) filter (where disposition = 'accepted') as accepted_count, count(*) filter (where disposition = 'rejected_duplicate') as duplicate_count, count(*) filter (where disposition = 'quarantined') as quarantine_count, true as repeat_is_equal from tried""",
         "op_stream_parse": _with(DOMAIN, recursive=False) + """, l as (select *, k % 50 in (1, 2, 3, 4) as bad from happenings where k % 50 <> 5)
     select k, case when not bad then event_id end as event_id, case when not bad then kind end as event_type, bad as malformed, case k % 50 when 1 then 'not json' when 2 then '{}}' when 3 then '[1, 2, 3]' when 4 then 'JSON' end as corrupt from l""",
-        "op_late_label": "with e as (select event_id, event_id // 500 as b, epoch_us(ts) - case when event_id % 50 = 0 then 10800000000 else 0 end as t from events) select event_id, coalesce(t < (select max(t) from e x where x.b < e.b) - 3600000000, false) as is_late from e",
+        "op_late_label": _with(DOMAIN, recursive=False) + _LANDED + " select event_id, cast(b as bigint) as batch, coalesce(t < mark, false) as is_late from landed where not bad",
         "op_running_watermark": "with e as (select event_id // 500 as batch, max(epoch_us(ts)) as t from events group by 1) select batch, (select max(t) from e x where x.batch < e.batch) - 3600000000 as watermark from e",
-        "op_batch_counters": "select event_id // 500 as batch, count(*) as rows_read, count(distinct event_type) as rows_written, count(*) filter (where event_type = 'error') as late_rows, count(*) - count(distinct event_type) as duplicate_rows from events group by 1",
+        "op_batch_counters": _with(DOMAIN, recursive=False) + _LANDED + """ select cast(r.b as bigint) as batch_id, r.n as rows_read, w.n as rows_written, r.n - w.n as duplicate_rows, malformed as malformed_rows, late as late_rows, top as max_event_time, mark as watermark
+    from (select b, count(*) as n from lines group by 1) r join (select b, count(*) as n, count(*) filter (where bad) as malformed, count(*) filter (where not bad and coalesce(t < mark, false)) as late, any_value(mark) as mark from landed group by 1) w using (b) join marks using (b)""",
         "op_dedup_by_hash": "select distinct l_returnflag, l_linestatus from lineitem",
         "op_training_frame": _with(*_training()) + " select as_of, ticket_id, ticket_age_minutes, minutes_to_sla, customer_ticket_count_30d, product_breach_rate_7d, resolved_at, label, split from training",
         "op_split_counts": _with(*_training()) + " select split, count(*) as rows, cast(sum(label) as bigint) as breaches from training group by 1",
-        "op_cohort_check": _with(*_training()) + " select split, count(*) as rows, count(distinct ticket_id) as tickets, count(*) filter (where label = 1) as breaches, count(*) filter (where label = 1) between 1 and count(*) - 1 and count(*) = count(distinct ticket_id) as usable from training group by 1",
+        "op_cohort_check": _with(*_training()) + " select split, count(*) as rows, count(*) filter (where label = 1) as breaches, cast(0 as bigint) as unknown, cast(0 as bigint) as repeated, count(*) filter (where label = 1) between 1 and count(*) - 1 as usable from training group by 1",
         "op_average_precision": scored + " select round(sum(cast(pos as double) / p * tp / called), 6) as average_precision from c",
         "op_roc_auc": scored + " select round(avg(case when a.label = 1 then w end), 6) as roc_auc from (select label, score from s) a join (select score, ((select sum(n - pos) from g x where x.score < g.score) + (n - pos) / 2::double) / (select sum(n - pos) from g) as w from g) b using (score)".replace("(select sum(n - pos) from g x where x.score < g.score)", "coalesce((select sum(n - pos) from g x where x.score < g.score), 0)"),
         "op_best_f1_threshold": scored + ", f as (select score, tp / called::double as pr, tp / p::double as re from c) select round(score, 6) as threshold, round(2 * pr * re / (pr + re), 6) as f1, round(pr, 6) as precision, round(re, 6) as recall from f where pr + re > 0 order by round(2 * pr * re / (pr + re), 12) desc, pr desc, score desc limit 1",
-        "op_skewed_range": "with e as (select id, case when id % 100 < 35 then 1 when id % 100 < 50 then 2 else 3 + (id // 100) % 298 end as c from range(200000) r(id)) select ['Premium', 'Standard', 'Enhanced'][c % 3 + 1] as support_tier, count(*) as joined_count, cast(sum(id) as bigint) as event_id_sum from e group by 1",
-        "op_partition_skew": "select cast(200000 as bigint) as rows",
+        "op_skewed_range": "with n as (select (select count(*) from orders) as e, (select count(*) from customer) as c), e as (select id, case when id % 100 < 35 then 1 when id % 100 < 50 then 2 else 3 + (id // 100) % (c - 2) end as c from (select unnest(range(e)) as id, c from n)) select ['Premium', 'Standard', 'Enhanced'][c % 3 + 1] as support_tier, count(*) as joined_count, cast(sum(id) as bigint) as event_id_sum from e group by 1",
+
         "op_open_queue": _with(DOMAIN, states(as_of)) + f" select ticket_id, priority, left_ as minutes_to_sla from states where status in {_LIVE} and left_ is not null order by left_, ticket_id limit 10",
     }
     body = """'{"event_id":"' || event_id || '","ticket_id":"' || ticket_id || '","customer_id":"' || customer_id || '","product_id":"' || product_id || '","event_type":"' || kind || '","event_time":"' || strftime(make_timestamp(t), '%Y-%m-%dT%H:%M:%S.') || lpad(cast(t % 1000000 // 1000 as varchar), 3, '0') || 'Z","agent_id":' || coalesce('"' || agent || '"', 'null') || ',"old_value":null,"new_value":' || coalesce('"' || val || '"', 'null') || ',"payload":' || to_json(payload) || '} junk'"""

@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import at, content_hash, us
 from ..operators import features, gold, learning, quality, skew, state
+from ..sources.store import Store, scratch_store
 from ..streaming import landing
 from . import domain as D
+from . import silver
 
 #: Instants of the queries.
 HOUR = datetime(2024, 1, 15, 10, tzinfo=UTC)
@@ -71,10 +73,17 @@ def op_operations_hour(s, d):
 
 
 @query
-def op_operations_all_hours(s, d):
+def op_operations_range(s, d):
     return plain(gold.operations_range(state.with_terms(D.tickets(s, d), D.contracts(s, d)), D.accounts(s, d), OLD_HOUR, 72))
 
 
+@query
+def op_operations_all_hours(s, d):
+    """Totals over the groups of every hour from the first ticket's to the last close."""
+    rows = gold.operations_all(state.with_terms(D.tickets(s, d), D.contracts(s, d)), D.accounts(s, d))
+    return plain(rows.groupBy("hour").agg(*[F.sum(c).alias(c) for c in ("tickets_created", "tickets_resolved", "open_backlog", "p1_ticket_count", "p2_ticket_count")]))
+
+
 @query
 def op_health_snapshot(s, d):
     return plain(gold.health(_states(s, d, HEALTH - TICK), D.accounts(s, d), HEALTH))
@@ -98,7 +107,10 @@ def op_event_type_counts(s, d):
 
 @query
 def op_features_snapshot(s, d):
-    return plain(features.features(_states(s, d, AS_OF - TICK), D.accounts(s, d), D.ticket_events(s, d), AS_OF).drop("sla_breached"))
+    # The features read the states several times.
+    store = scratch_store(s)
+    store.replace(_states(s, d, AS_OF - TICK), "silver", "ticket_state")
+    return plain(features.features(store.read("silver", "ticket_state"), D.accounts(s, d), D.ticket_events(s, d), AS_OF).drop("sla_breached"))
 
 
 @query
@@ -184,26 +196,69 @@ def op_content_hash(s, d):
 
 @query
 def op_insert_only_merge(s, d):
-    """What an insert-only merge leaves: old rows as they were, and new keys."""
-    old = D.table(s, d, "customer").where("c_custkey % 3 = 0").select("c_custkey", F.lit("old").alias("version"))
-    new = D.table(s, d, "customer").where("c_custkey % 2 = 0").select("c_custkey", F.lit("new").alias("version"))
-    return old.unionByName(new.join(old, "c_custkey", "left_anti"))
+    """All customers offered to a table that holds those in credit: rows held stay as they were."""
+    store, people = scratch_store(s), D.table(s, d, "customer")
+    store.append(people.where("c_acctbal >= 0").select("c_custkey", F.lit("held").alias("version")), "silver", "accounts")
+    store.insert_only(people.select("c_custkey", F.lit("offered").alias("version")), "silver", "accounts", ["c_custkey"])
+    return store.read("silver", "accounts")
 
 
 @query
 def op_update_only_merge(s, d):
-    old = D.table(s, d, "customer").where("c_custkey % 3 = 0").select("c_custkey", "c_acctbal")
-    new = D.table(s, d, "customer").where("c_custkey % 2 = 0").select("c_custkey", (F.col("c_acctbal") + 1).alias("new"))
-    return plain(old.join(new, "c_custkey", "left").select("c_custkey", F.coalesce("new", "c_acctbal").alias("c_acctbal")))
+    """Customers' numbers of orders, offered also for customers that the table doesn't have."""
+    store = scratch_store(s)
+    store.append(D.table(s, d, "customer").select("c_custkey", F.lit(-1).cast("bigint").alias("orders")), "silver", "accounts")
+    counts = D.table(s, d, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count("*").alias("orders"))
+    store.update_only(counts.unionByName(counts.withColumn("c_custkey", -1 - F.col("c_custkey"))), "silver", "accounts", ["c_custkey"])
+    return store.read("silver", "accounts")
 
 
 @query
 def op_replace_snapshot(s, d):
-    """A day's counts recomputed in place of the old ones, other days untouched."""
-    rows = D.table(s, d, "events").select(F.to_date("ts").cast("string").alias("day"), "event_id")
-    old = rows.where("event_id % 2 = 0").groupBy("day").agg(F.count("*").alias("n"))
-    new = rows.where("day = '2024-01-05'").groupBy("day").agg(F.count("*").alias("n"))
-    return old.where("day <> '2024-01-05'").unionByName(new)
+    """A snapshot of users' events for each type; clicks are published anew with other counts, views as an empty result."""
+    store, rows = scratch_store(s), D.table(s, d, "events").select("event_type", "user_id", "event_id")
+    part = lambda kind, n: rows.where(F.col("event_type") == kind).groupBy("event_type", "user_id").agg(n.alias("n"))
+    for kind in ("signup", "click", "view", "error", "purchase"):
+        store.replace_snapshot(part(kind, F.count("*")), "gold", "incident_signals", "event_type", kind)
+    store.replace_snapshot(part("click", F.max("event_id")), "gold", "incident_signals", "event_type", "click")
+    store.replace_snapshot(part("view", F.count("*")).limit(0), "gold", "incident_signals", "event_type", "view")
+    return store.read("gold", "incident_signals")
+
+
+@query
+def op_replace_range(s, d):
+    """Daily counts of a long backfill, then of a shorter one, beside an operational snapshot."""
+    store, table = scratch_store(s), ("gold", "ticket_features")
+    daily = lambda origin, n: D.table(s, d, "events").groupBy(F.date_trunc("day", "ts").alias("as_of")).agg(n.alias("n")).withColumn("origin", F.lit(origin))
+    store.replace_snapshot(daily("live", F.count("*")).where(F.col("as_of") >= at(AS_OF)), *table, "as_of", AS_OF)
+    store.replace_range(daily("first", F.count("*")).where(F.col("as_of") < at(AS_OF)), *table, "as_of", AS_OF, "backfill")
+    store.replace_range(daily("second", F.max("event_id")).where(F.col("as_of") < at(HOUR)), *table, "as_of", HOUR, "backfill")
+    return plain(store.read(*table))
+
+
+@query
+def op_time_travel(s, d):
+    """A table read as of the version before its rows were replaced, and as it is."""
+    store, table = scratch_store(s), ("ml", "training_dataset")
+    nations = D.table(s, d, "nation").select("n_nationkey", "n_name")
+    store.append(nations, *table)
+    pinned = store.version(*table)
+    store.replace(nations.withColumn("n_name", F.reverse("n_name")), *table)
+    old, new = (store.read(*table, v).withColumn("version", F.lit(v).cast("bigint")) for v in (pinned, store.version(*table)))
+    return old.unionByName(new)
+
+
+@query
+def op_validation_run(s, d):
+    """A validation run over landed tickets, and what stands in the tables after it and a repeat of it."""
+    store = scratch_store(s)
+    for rows, layer, name in ((D.raw_tickets(s, d), "bronze", "tickets"), (D.accounts(s, d), "silver", "accounts"), (D.products(s, d), "silver", "products")):
+        store.append(rows, layer, name)
+    first, again = (silver.run(store, "tickets", "run/1", NOW) for _ in range(2))
+    kept = store.read("silver", "tickets").agg(F.count("*").alias("silver_rows"), F.count_distinct("ticket_id").alias("silver_tickets"))
+    bad = store.read("ops", "invalid_records").agg(F.count("*").alias("invalid_rows"))
+    counts = ("records_read", "accepted_count", "duplicate_count", "quarantine_count")
+    return kept.crossJoin(bad).select("*", *[F.lit(first[c]).cast("bigint").alias(c) for c in counts], F.lit(all(first[c] == again[c] for c in counts)).alias("repeat_is_equal"))
 
 
 def _lines(s, d):
@@ -220,13 +275,29 @@ def op_stream_parse(s, d):
     return rows.select("k", "event_id", "event_type", F.col("_corrupt_record").isNotNull().alias("malformed"), F.col("_corrupt_record").alias("corrupt"))
 
 
+#: Batches of the landed stream.
+BATCHES = 3
+
+
+def _landed(s, d) -> Store:
+    """The events landed as lines of three batches, every tenth twice and some again in the next batch; every batch once more, which must change nothing."""
+    store, lines = scratch_store(s), _lines(s, d)
+    top = D.table(s, d, "events").agg(F.max("event_id")).first()[0] + 1
+    lines = lines.withColumn("b", F.expr(f"k * {BATCHES} div {top}"))
+    again = lines.where("k % 10 = 0")
+    lines = lines.unionByName(again).unionByName(again.where(f"b < {BATCHES - 1}").withColumn("b", F.col("b") + 1)).withColumn("_source_file", F.concat(F.lit("file-"), F.col("b").cast("string")))
+    lines.select("b", "value", "_source_file").write.parquet(f"{store.root}/lines")
+    lines = s.read.parquet(f"{store.root}/lines")
+    for batch in (*range(BATCHES), *range(BATCHES)):
+        landing.land_batch(store, lines.where(F.col("b") == batch).select("value", "_source_file"), batch, "events", "run", timedelta(hours=1))
+    return store
+
+
 @query
 def op_late_label(s, d):
-    """Events late against the greatest time of the batches before theirs, less an hour; batches by event id."""
-    rows = D.table(s, d, "events").selectExpr("event_id", "event_id div 500 as batch", "timestamp_micros(unix_micros(ts) - if(event_id % 50 = 0, 10800000000, 0)) as event_time")
-    marks = landing.running_watermark(rows, "batch", timedelta(hours=1))
-    late = rows.join(F.broadcast(marks), "batch", "left")  # one row per batch
-    return late.select("event_id", F.coalesce(F.col("event_time") < F.col("watermark"), F.lit(False)).alias("is_late"))
+    """What landed: each content once, labelled late or not against the greatest time of the batches before, less an hour."""
+    rows = _landed(s, d).read("bronze", "ticket_events").where(F.col(landing.CORRUPT).isNull())
+    return rows.select("event_id", F.split_part("_pipeline_run_id", F.lit("/"), F.lit(2)).cast("bigint").alias("batch"), F.col("_is_late").alias("is_late"))
 
 
 @query
@@ -237,8 +308,8 @@ def op_running_watermark(s, d):
 
 @query
 def op_batch_counters(s, d):
-    rows = D.table(s, d, "events").selectExpr("event_id div 500 as batch", "event_id", "event_type")
-    return plain(rows.groupBy("batch").agg(F.count("*").alias("rows_read"), F.count_distinct("event_type").alias("rows_written"), F.count_if(F.col("event_type") == "error").alias("late_rows")).withColumn("duplicate_rows", F.col("rows_read") - F.col("rows_written")))
+    rows = _landed(s, d).read("ops", "streaming_metrics")
+    return plain(rows.select("batch_id", "rows_read", "rows_written", "duplicate_rows", "malformed_rows", "late_rows", "max_event_time", "watermark"))
 
 
 @query
@@ -267,8 +338,7 @@ def op_split_counts(s, d):
 
 @query
 def op_cohort_check(s, d):
-    rows = _training(s, d)
-    return plain(rows.groupBy("split").agg(F.count("*").alias("rows"), F.count_distinct("ticket_id").alias("tickets"), F.count_if(F.col("label") == 1).alias("breaches")).withColumn("usable", F.col("breaches").between(1, F.col("rows") - 1) & (F.col("rows") == F.col("tickets"))))
+    return plain(learning.cohorts(_training(s, d)))
 
 
 @query
@@ -299,15 +369,20 @@ for _name, _strategy in (("default", "adaptive_default"), ("merge", "merge_basel
     FOUND[f"op_join_{_name}"] = _join(_strategy)
 
 
+def _skewed(s, d):
+    """Generated events and accounts, as many as there are orders and customers."""
+    return skew.skewed(s, D.table(s, d, "orders").count(), D.table(s, d, "customer").count())
+
+
 @query
 def op_skewed_range(s, d):
-    return skew.totals(skew.joined(*skew.skewed(s, 200_000, 300), "salted_merge", 8))
+    return skew.totals(skew.joined(*_skewed(s, d), "salted_merge", 8))
 
 
 @query
 def op_partition_skew(s, d):
-    rows = skew.partition_sizes(skew.skewed(s, 200_000, 300)[0], 16)
-    return plain(rows.agg(F.sum("rows").alias("rows")))
+    """Rows of each hash partition; which key falls where is Spark's, so there is no SQL for it."""
+    return skew.partition_sizes(_skewed(s, d)[0], 64)
 
 
 @query

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import json
 import re
+import tempfile
 import uuid
 from datetime import datetime
 
@@ -213,6 +214,22 @@ class Store:
         return gone
 
 
+#: The scratch folder of each application without a shared one.
+_own: dict[str, str] = {}
+
+
+def scratch_store(spark: SparkSession) -> Store:
+    """A new, empty store in the folder that all executors share (``spark.checkpoint.dir``); without one, in a temporary folder if the master is local."""
+    shared, app = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext.applicationId
+    if not shared:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        if app not in _own:
+            _own[app] = tempfile.mkdtemp(prefix="tidewell-")
+        shared = _own[app]
+    return Store(spark, f"{shared.rstrip('/')}/tidewell/store-{uuid.uuid4().hex}")
+
+
 def updated(old: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
     """``old`` with the values of the rows whose keys match."""
     values = [c for c in rows.columns if c not in keys]
