@@ -25,9 +25,11 @@ _own_dirs: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share (``spark.checkpoint.dir``); a temporary one only where that is unset."""
+    """The folder all executors share (``spark.checkpoint.dir``); where that is unset, a temporary one if the master is local, else an error."""
     if found := spark.conf.get("spark.checkpoint.dir", None):
         return found.rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own_dirs:
         _own_dirs[app] = "file://" + tempfile.mkdtemp(prefix="tidewell-")
@@ -78,6 +80,11 @@ def ascii_lower(text: Column) -> Column:
     return F.when(F.length(text) == F.octet_length(text), F.lower(text)).otherwise(F.translate(text, upper, upper.lower()))
 
 
+def private(name: str) -> str:
+    """A column name that no table has."""
+    return f"_{name}_{uuid.uuid4().hex}"
+
+
 def fold(key: Column, divisor: int) -> Column:
     """crc32 of a key as text, modulo ``divisor``; a null key counts as the empty text."""
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % divisor

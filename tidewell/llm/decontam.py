@@ -127,8 +127,13 @@ def near(index: Index, slop: int = 5) -> DataFrame:
     return both.groupBy("a.doc_id", "a.th", "a.wid").agg(F.min(F.expr("abs(a.s - b.s)")).alias("off"))
 
 
-def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, size: int = 10) -> DataFrame:
-    """The contaminated rows only: doc_id, th (hash of the text), n_hit and the sorted items that occur."""
+def proximity(spark: SparkSession, scratch: Scratch, index: Index, slop: int = 5) -> DataFrame:
+    """doc_id, th and n_near, the windows that a document holds loosely: rarest terms in order, within ``slop`` places of their distance."""
+    return scratch.keep(near(index, slop).groupBy("doc_id", "th").agg(F.count_distinct("wid").alias("n_near")), "near")
+
+
+def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, size: int = 10, loose: bool = False) -> DataFrame:
+    """The contaminated rows only: doc_id, th (hash of the text), n_hit and the sorted items that occur; ``loose`` adds rows with proximity matches, and n_near."""
     scratch = Scratch(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     index = build(scratch, docs, benchmark, size)
@@ -139,19 +144,22 @@ def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, siz
     named = hits.select("doc_id", "th", "wid").distinct().join(small(index.items), "wid").select("doc_id", "th", F.col("item_id").cast("string").alias("item")).distinct()
     named = named.groupBy("doc_id", "th").agg(F.array_sort(F.collect_list("item")).alias("items"))
     dirty = spans.alias("a").join(named.alias("b"), F.expr("a.doc_id <=> b.doc_id and a.th = b.th")).select("a.doc_id", "a.th", "n_hit", "items")
+    if loose:
+        close = proximity(spark, scratch, index)
+        dirty = dirty.alias("a").join(close.alias("b"), F.expr("a.doc_id <=> b.doc_id and a.th = b.th"), "full").select(F.coalesce("a.doc_id", "b.doc_id").alias("doc_id"), F.coalesce("a.th", "b.th").alias("th"), "n_hit", "items", "n_near")
     dirty = scratch.keep(dirty, "dirty")
-    scratch.drop("cut", "windows", "postings", "hits")
+    scratch.drop("cut", "windows", "postings", "hits", *["near"] * loose)
     return dirty
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, size: int = 10) -> DataFrame:
-    """Every row of ``docs`` (doc_id, text) with n_words, n_hit (words in any occurrence), n_items, items_sha256 and contaminated.
+    """Every row of ``docs`` (doc_id, text) with n_words, n_hit (words in any occurrence), n_items, items_sha256, contaminated and n_near (windows with a proximity match).
 
     Null and empty texts have no words. A row is known by doc_id and text: equal rows get equal results. Items that
     can't occur, an empty benchmark or an empty table leave all documents clean.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    dirty = small(contaminated(spark, docs, benchmark, size))
+    dirty = small(contaminated(spark, docs, benchmark, size, True))
     base = docs.select("doc_id", F.xxhash64("text").alias("th"), n_words(F.col("text")).cast("long").alias("n_words"))
     none = F.array().cast("array<string>")
     return base.alias("d").join(dirty.alias("h"), F.expr("d.doc_id <=> h.doc_id and d.th = h.th"), "left").select(
@@ -161,4 +169,5 @@ def decontaminate(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, si
         F.size(F.coalesce("items", none)).cast("long").alias("n_items"),
         F.sha2(F.array_join(F.coalesce("items", none), ",").cast("binary"), 256).alias("items_sha256"),
         (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
+        F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
     )

@@ -82,6 +82,12 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
+def _iban_end(found: str, start: int) -> int | None:
+    """Where the number ends: the longest beginning, cut at a space or the end, that passes. What follows an IBAN often looks like another group of it."""
+    ends = [len(found), *(i for i in range(len(found) - 1, 0, -1) if found[i] == " ")]
+    return next((start + i for i in ends if mod97(found[:i])), None)
+
+
 def _score(text: str, kind: str, start: int, end: int) -> float:
     near = f"{text[max(0, start - WINDOW) : start]} {text[end : end + WINDOW]}".lower()
     words = set(re.findall(r"[^\W\d_]+", near))
@@ -93,7 +99,7 @@ def spans(text: str | None) -> list[tuple[int, int, int, float]]:
     if not text:
         return []
     found = base_spans(text)
-    found += [(4, *m.span()) for m in _IBAN.finditer(text) if mod97(m[0])]
+    found += [(4, m.start(), end) for m in _IBAN.finditer(text) if (end := _iban_end(m[0], m.start()))]
     for m in _SSN.finditer(text):
         if m[0][:3] not in ("000", "666") and m[0][0] != "9" and m[0][4:6] != "00" and m[0][7:] != "0000":
             found.append((5, *m.span()))

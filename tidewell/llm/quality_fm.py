@@ -7,6 +7,7 @@ less the sum of squares. Training runs on a bounded sample of labelled rows.
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -121,14 +122,14 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 8_000) -> Machine:
     """
     known = labels.where("doc_id is not null and label in (0, 1)").groupBy("doc_id").agg(F.min("label").alias("label"))
     picked = known.withColumn("_h", F.xxhash64("doc_id")).orderBy("_h", "doc_id").limit(sample).select(F.col("doc_id").alias("_id"), "label")
-    rows = docs.join(F.broadcast(picked), docs["doc_id"] == picked["_id"]).select("doc_id", "text", "n_chars", "label")
+    rows = docs.select("doc_id", "text", "n_chars").join(F.broadcast(picked), F.col("doc_id") == F.col("_id")).select("doc_id", "text", "n_chars", "label")
 
     def run(batch):
         chars = batch.column("n_chars").to_pylist()
         found = [features(words, data, chars[i]) for i, words, _, data in batch_words(batch, "text")]
-        return {"doc_id": batch.column("doc_id"), "label": batch.column("label"), "at": [a for a, _ in found], "x": [x for _, x in found]}
+        return {"doc_id": batch.column("doc_id"), "label": batch.column("label"), "n": [len(a) for a, _ in found], "h": [zlib.crc32(a.tobytes() + x.tobytes()) for a, x in found], "at": [a for a, _ in found], "x": [x for _, x in found]}
 
-    table = arrow_map(rows, run, "doc_id long, label int, at array<int>, x array<double>").toArrow().sort_by("doc_id")
+    table = arrow_map(rows, run, "doc_id long, label int, n long, h long, at array<int>, x array<double>").toArrow().sort_by([("doc_id", "ascending"), ("n", "ascending"), ("h", "ascending")])
     at, x = (table.column(c).combine_chunks() if table.num_rows else None for c in ("at", "x"))
     pairs = [(at[i].values.to_numpy().astype(np.int64), x[i].values.to_numpy()) for i in range(table.num_rows)]
     return fit(pairs, table.column("label").to_numpy().astype(float) if table.num_rows else np.zeros(0))

@@ -13,7 +13,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let
+from .common import let, small
 
 WORD = r"[^\x20\x09-\x0D]+"
 SYMBOL = "[#*$%&|<>]"
@@ -42,18 +42,18 @@ class Ratio:
     logs: list[float]
 
 
-def trusted(labels: DataFrame, column: str = "quality", sample: int = 20_000) -> DataFrame:
-    """Ids of at most ``sample`` documents labelled 1, those with the least hash of doc_id."""
-    good = labels.where(F.col(column) == 1).where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
-    return good.withColumn("_h", F.xxhash64("doc_id")).orderBy("_h", "doc_id").limit(sample).select("doc_id")
+def trusted(labels: DataFrame, column: str = "quality") -> DataFrame:
+    """Ids of the documents labelled 1."""
+    return labels.where(F.col(column) == 1).where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
 
 
 def fit(docs: DataFrame, target: DataFrame, smooth: float = 1.0) -> Ratio:
-    """Count all of ``docs`` (doc_id, text) as the raw corpus, and those in ``target`` (doc_id, few by its bound) as the target.
+    """Count all of ``docs`` (doc_id, text) as the raw corpus, and those in ``target`` (doc_id) as the target.
 
     Counts are summed map-side; BUCKETS rows reach the driver. Without target or raw rows all ratios are 0.
     """
-    marked = docs.join(F.broadcast(target.select(F.col("doc_id").alias("_id"), F.lit(1).alias("_t")).distinct()), F.col("doc_id") == F.col("_id"), "left")
+    known = small(target.select(F.col("doc_id").alias("_id"), F.lit(1).alias("_t")).distinct())
+    marked = docs.select("doc_id", "text").join(known, F.col("doc_id") == F.col("_id"), "left")
     rows = _hashed(marked.withColumn("_t", F.coalesce("_t", F.lit(0))), "_t").select("_t", F.explode(_buckets(F.col("h"))).alias("b"))
     counts = np.zeros((2, BUCKETS))
     for row in rows.groupBy("b").agg(F.count("*").alias("raw"), F.sum("_t").alias("target")).collect():

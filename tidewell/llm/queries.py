@@ -98,8 +98,12 @@ k as (select distinct k from i),
 t as (select doc_id, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: {'p': i, 'g': array_to_string(ws[i:i + k - 1], ' ')})) as x from d, k where len(ws) >= k),
 o as (select t.doc_id, t.k, t.x.p as p, i.item_id from t join i on i.k = t.k and i.g = t.x.g),
 h as (select doc_id, count(distinct q) as n_hit from (select doc_id, unnest(range(p, p + k)) as q from o) group by doc_id),
+q as (select g, o, t, coalesce(n, 0) as n, row_number() over (partition by g order by coalesce(n, 0), o) as r
+    from (select g, unnest(string_split(g, ' ')) as t, generate_subscripts(string_split(g, ' '), 1) as o from (select distinct g from i)) left join (select t, count(*) as n from (select unnest(ws) as t from d) group by t) using (t)),
+z as (select doc_id, unnest(ws) as t, generate_subscripts(ws, 1) as p from d),
+l as (select x.doc_id, count(distinct a.g) as n_near from q a join q b using (g) join z x on x.t = a.t join z y on y.t = b.t and y.doc_id = x.doc_id and abs((x.p - a.o) - (y.p - b.o)) <= 5 where a.r = 1 and b.r = 2 and a.n > 0 group by 1),
 m as (select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items from (select distinct doc_id, cast(item_id as varchar) as item from o) group by doc_id)
 select d.doc_id, cast(len(d.ws) as bigint) as n_words, cast(coalesce(n_hit, 0) as bigint) as n_hit, cast(coalesce(n_items, 0) as bigint) as n_items,
-    sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
-from d left join h using (doc_id) left join m using (doc_id)
+    sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated, cast(coalesce(n_near, 0) as bigint) as n_near
+from d left join h using (doc_id) left join m using (doc_id) left join l using (doc_id)
 """

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, let, small
+from .common import Scratch, let, private, small
 
 # A private key: header, lines such as Proc-Type, and the body, which is the value: up to the footer of the same label if only an encoded key's characters,
 # not mere words, stand there or a long piece begins it; else the run of long pieces. A quoted header or footer alone is none. Possessive loops: linear time.
@@ -102,16 +102,30 @@ def digest(spark: SparkSession, docs: DataFrame) -> DataFrame:
     return whole.join(live, "row", "left").select("doc_id", *[f"n_{KINDS[k][0]}" for k in range(BASE)], "base_sha256", "spans", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_live", "n_copied")])
 
 
+def _cut(text: Column, spans: Column) -> Column:
+    """The text with ``[SECRET]`` for each span (start, end); what overlaps is one."""
+    mark = F.lit("[SECRET]")
+    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    step = lambda s, x: F.when(x["start"] < s["at"], F.struct(F.greatest(s["at"], x["end"]).alias("at"), s["out"].alias("out"))).otherwise(F.struct(x["end"].alias("at"), F.concat(s["out"], F.substring(text, s["at"] + 1, x["start"] - s["at"]), mark).alias("out")))
+    return F.aggregate(spans, zero, step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
+
+
 def redact(spark: SparkSession, docs: DataFrame, owner: str = "source", repo: str = "doc_id") -> DataFrame:
     """All columns of ``docs`` with every live value of a row replaced by ``[SECRET]``, and n_chars set anew where the text changed. Rows are known by
     doc_id, null or not, and text.
 
-    Longer values first, as others may lie in them. Only documents with live values meet a join side; that side is broadcast if it is small.
+    Spans go as they were found, a private key whole; after that a live value goes wherever else it stands as a word of its own in the row. A longer word that
+    holds it stays. Only documents with live values meet a join side; that side is broadcast if it is small.
     """
     _, judged = scan(spark, docs, owner, repo)
-    values = judged.where("live").groupBy(F.col("doc_id").alias("_id"), F.col("th").alias("_th")).agg(F.array_sort(F.collect_set(F.struct(F.length("value").alias("n"), "value"))).alias("_values"))
+    id_, th, spans, words = (private(n) for n in ("id", "th", "spans", "words"))
+    whole = F.col("kind") == len(KINDS) - 1
+    span = F.struct(F.when(whole, F.col("start")).otherwise(F.col("end") - F.length("value")).alias("start"), F.col("end").alias("end"))
+    values = judged.where("live").groupBy(F.col("doc_id").alias(id_), F.col("th").alias(th)).agg(F.array_sort(F.collect_set(span)).alias(spans), F.sort_array(F.collect_set(F.when(~whole, F.struct(F.length("value").alias("n"), "value"))), False).alias(words))
     values = small(Scratch(spark).keep(values, "live"))
-    clean = F.aggregate(F.reverse("_values"), F.col("text"), lambda t, v: F.replace(t, v["value"], F.lit("[SECRET]")))
-    joined = docs.join(values, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_th")), "left")
-    new = {"text": F.when(F.col("_values").isNotNull(), clean).otherwise(F.col("text")), "n_chars": F.when(F.col("_values").isNotNull(), F.length(clean).cast("long")).otherwise(F.col("n_chars"))}
+    word = "[A-Za-z0-9+/_=-]"
+    clean = F.aggregate(words, _cut(F.col("text"), F.col(spans)), lambda t, v: F.regexp_replace(t, F.concat(F.lit(f"(?<!{word})\\Q"), v["value"], F.lit(f"\\E(?!{word})")), F.lit("[SECRET]")))
+    found = F.col(spans).isNotNull()
+    joined = docs.join(values, F.col("doc_id").eqNullSafe(F.col(id_)) & (F.xxhash64("text") == F.col(th)), "left").withColumn(words, F.when(found, clean).otherwise(F.col("text")))
+    new = {"text": F.col(words), "n_chars": F.when(found, F.length(words).cast("long")).otherwise(F.col("n_chars")) if "n_chars" in docs.columns else None}
     return joined.select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns])

@@ -34,6 +34,8 @@ BLOCK = 1 << 17
 CHARS = 3 << 20
 #: Encoded units in each of the two generations a worker remembers.
 CACHE = 300_000
+#: Longer strings that no place cuts are merged plainly: a step a place is too slow for one string alone.
+LONG = 256
 _B = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -133,6 +135,7 @@ class Table:
             if len(halves) == 2 and all(h in place for h in halves) and set(piece) != {SPACE}:
                 self.left[i], self.right[i] = place[halves[0]], place[halves[1]]
                 self.valid[i] = True
+        self.periods: dict[str, tuple[int, dict[int, list[str]]]] = {}
         self.powers = np.full(self.longest + 1, _B, np.uint64)
         self.powers[0] = 1
         self.powers = np.cumprod(self.powers)
@@ -146,6 +149,24 @@ class Table:
         out[some[hit]] = at[hit]
         return out
 
+    def key(self, pieces: list[str]) -> np.ndarray:
+        known = {p: mix(np.array([_raw_hash(p) + np.uint64(len(p))]))[0] for p in set(pieces)}
+        return np.array([known[p] for p in pieces], np.uint64)
+
+    def merged(self, string: str) -> list[str]:
+        """The string's pieces by plain merging; a run of one character by its period, once that is seen to hold."""
+        if string.strip(string[0]):
+            return merge(string, self.ranks)
+        if (c := string[0]) not in self.periods:
+            most = max(len(p) for p in merge(c * LONG, self.ranks))
+            rest = {n: merge(c * n, self.ranks) for n in range(2 * most, 4 * most)}
+            self.periods[c] = (most, rest) if all(rest[n] == [c * most, *rest[n - most]] for n in range(3 * most, 4 * most)) else (0, {})
+        most, rest = self.periods[c]
+        if not most or len(string) < 4 * most:
+            return merge(string, self.ranks)
+        times = len(string) // most - 2
+        return [c * most] * times + rest[len(string) - times * most]
+
     def compatible(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Whether pieces a and b stay apart side by side.
 
@@ -176,14 +197,41 @@ def _within(piece: str, ranks: dict[str, int]):
 
 
 def segment(strings: list[str], table: Table) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of the strings' pieces end to end, and where each string's begin; a character without a piece gives -1 less its code point."""
+    """Ids of the strings' pieces end to end, and where each string's begin; a character without a piece gives -1 less its code point.
+
+    A string longer than BLOCK is looked at in windows, so that memory doesn't grow with it.
+    """
+    if any(len(s) > BLOCK for s in strings):
+        parts = [_windowed(s, table) if len(s) > BLOCK else segment([s], table)[0] for s in strings]
+        return np.concatenate([np.zeros(0, np.int64), *parts]), np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
     lengths = np.fromiter(map(len, strings), np.int64, len(strings))
     starts = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
-    codes = _codes("".join(strings))
+    text = "".join(strings)
+    codes = _codes(text)
     total = len(codes)
     if not total:
         return np.zeros(0, np.int64), np.zeros(len(strings) + 1, np.int64)
-    edge = np.repeat(starts[1:], lengths)
+    found, cut = _lattice(codes, starts, lengths, table)
+    sizes = np.diff(np.append(cut, total))
+    best, back = np.full(total, -1, np.int64), np.ones(total, np.int64)
+    for size in np.unique(sizes[sizes <= LONG]).tolist():
+        first, step = cut[sizes == size], max(1, BLOCK // size)
+        for lo in range(0, len(first), step):
+            _advance(first[lo : lo + step], size, found, table, best, back)
+    for lo, size in zip(cut[sizes > LONG].tolist(), sizes[sizes > LONG].tolist(), strict=True):
+        pieces = table.merged(text[lo : lo + size])
+        n = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        ends = lo + np.cumsum(n) - 1
+        best[ends], back[ends] = table.probe(table.key(pieces)), n
+    # All strings walk back at once, a piece a step; what was merged or stands alone has its ends marked already.
+    last = _walk(back, cut, sizes, total)
+    ids = np.where(best >= 0, table.ids[best], -1 - codes.astype(np.int64))[last[1:] > 0]
+    return ids, np.cumsum(last)[starts]
+
+
+def _lattice(codes: np.ndarray, starts: np.ndarray, lengths: np.ndarray, table: Table) -> tuple[list[np.ndarray], np.ndarray]:
+    """By length less one, the pieces that begin at each place; and the places that no piece spans, where strings of one length are many and long ones few."""
+    total, edge = len(codes), np.repeat(starts[1:], lengths)
     found, spanned = [], np.zeros(total + 1, np.int64)
     each = mix(codes + np.uint64(1))
     rolling = np.zeros(total, np.uint64)
@@ -196,24 +244,40 @@ def segment(strings: list[str], table: Table) -> tuple[np.ndarray, np.ndarray]:
             begin = np.flatnonzero(inside)
             np.add.at(spanned, begin + 1, 1)
             np.add.at(spanned, begin + n, -1)
-    # Cut where no piece spans, so that strings of one length are many and long ones few.
-    cut = np.union1d(np.flatnonzero(np.cumsum(spanned)[:total] == 0), starts[:-1][lengths > 0])
-    sizes = np.diff(np.append(cut, total))
-    best, back = np.full(total, -1, np.int64), np.ones(total, np.int64)
-    for size in np.unique(sizes).tolist():
-        first, step = cut[sizes == size], max(1, BLOCK // size)
-        for lo in range(0, len(first), step):
-            _advance(first[lo : lo + step], size, found, table, best, back)
-    # All strings walk back at once, a piece a step.
-    last, at = np.zeros(total + 1, np.int64), starts[1:][lengths > 0] - 1
-    begin = starts[:-1][lengths > 0]
+    return found, np.union1d(np.flatnonzero(np.cumsum(spanned)[:total] == 0), starts[:-1][lengths > 0])
+
+
+def _walk(back: np.ndarray, cut: np.ndarray, sizes: np.ndarray, total: int) -> np.ndarray:
+    """1 after each place where a piece ends."""
+    last, at, begin = np.zeros(total + 1, np.int64), cut + sizes - 1, cut
     while len(at):
         last[at + 1] = 1
         at = at - back[at]
         go = at >= begin
         at, begin = at[go], begin[go]
-    ids = np.where(best >= 0, table.ids[best], -1 - codes.astype(np.int64))[last[1:] > 0]
-    return ids, np.cumsum(last)[starts]
+    return last
+
+
+def _windowed(string: str, table: Table) -> np.ndarray:
+    """The same of one long string: cut, in windows that overlap by the longest piece, where no piece spans, and solved in strings between cuts."""
+    cuts, reach = [0], table.longest
+    for lo in range(0, len(string), BLOCK):
+        a, b = max(0, lo - reach), min(len(string), lo + BLOCK + reach)
+        _, cut = _lattice(_codes(string[a:b]), np.array([0, b - a]), np.array([b - a]), table)
+        cut = cut + a
+        cuts += cut[(cut >= max(lo, 1)) & (cut < lo + BLOCK)].tolist()
+    out, held, size = [], [], 0
+    for a, b in zip(cuts, [*cuts[1:], len(string)], strict=True):
+        if b - a > BLOCK:  # no cut for long: merged as it is
+            out += [segment(held, table)[0], table.ids[table.probe(table.key(table.merged(string[a:b])))]]
+            held, size = [], 0
+            continue
+        held.append(string[a:b])
+        size += b - a
+        if size >= BLOCK // 2:
+            out.append(segment(held, table)[0])
+            held, size = [], 0
+    return np.concatenate([np.zeros(0, np.int64), *out, segment(held, table)[0]])
 
 
 def _advance(first: np.ndarray, size: int, found: list[np.ndarray], table: Table, best: np.ndarray, back: np.ndarray) -> None:

@@ -19,21 +19,27 @@ BUCKETS, GRAM = 2048, 3
 LABELLED = 500
 #: Rules of the query: verdict and rule (host, then path).
 RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"))
-# A small labelled table (fixed values): 1 to block, 0 to allow.
-SEEDS = (
-    ("https://casino-bonus.example/slots/free-spins", 1), ("http://cheap-pills.example/buy/viagra-online", 1), ("https://win-prize.example/claim?id=1", 1),
-    ("http://adult-cams.example/live/xxx", 1), ("https://free-movies-download.example/torrent/hd", 1), ("http://loan-fast.example/payday/apply-now", 1),
-    ("https://bet365-odds.example/poker/jackpot", 1), ("http://replica-watches.example/rolex/sale", 1), ("https://crack-keygen.example/serial/download", 1),
-    ("http://hot-singles.example/dating/sexy", 1), ("https://click-track.example/ads/banner/popup", 1), ("http://porn-tube.example/videos/xxx", 1),
-    ("https://spam-links.example/seo/backlinks-buy", 1), ("http://forex-signals.example/get-rich/quick", 1), ("https://coupon-deals.example/promo/discount-code", 1),
-    ("http://warez-files.example/full-version/crack", 1),
-    ("https://docs.example/guide/introduction", 0), ("https://www.library.example/en/catalogue/12", 0), ("https://news.example/en/2024/article.html", 0),
-    ("https://encyclopedia.example/en/history", 0), ("http://blog.example/en/15751.html", 0), ("https://university.example/research/papers", 0),
-    ("https://museum.example/de/sammlung/4", 0), ("https://science.example/journal/article-22", 0), ("https://python-docs.example/tutorial/intro.html", 0),
-    ("http://school.example/lessons/math", 0), ("https://gov.example/policy/report.html", 0), ("https://recipes.example/en/bread/", 0),
-    ("https://m.weather.example/en/forecast", 0), ("https://forum.example/en/thread/3312", 0), ("https://health.example/en/conditions/", 0),
-    ("https://travel.example/de/10250.html", 0),
-)
+# The labelled table is made by a rule: each site with some of the paths of its side, in turn. Sites and paths are ours, and typical of what they stand for.
+UNWANTED = (
+    "best-casino-bonus.com|luckyslots777.net|bet365-odds.info|pokerjackpot.online|free-spins.bet|sexycams.live|hotgirls-xxx.com|adult-dating.club|porntube-hd.net|escorts-city.com|"
+    "cheap-viagra-pills.com|pharmacy-no-rx.biz|buy-cialis-online.shop|weight-loss-miracle.site|replica-watches.store|discount-handbags.top|cracked-software.ws|keygen-serials.org|torrent-movies.to|warez-full.download|"
+    "payday-loan-fast.com|crypto-profit-bot.io|forex-signals-vip.net|get-rich-quick.biz|win-iphone-prize.club|free-gift-card.win|click-track-ads.com|popup-banner.xyz|seo-backlinks.pro|cheap-followers.shop|coupon-deals-4u.com|download-mp3-free.cc"
+).split("|")
+UNWANTED_PATHS = "/slots/free-spins|/casino/bonus|/live/xxx|/videos/porn/1|/buy/viagra-online|/claim-prize|/crack/keygen.exe|/torrent/full-hd|/payday/apply-now|/ads/click|/promo/discount-code|/poker/jackpot|/girls/cam|/loan/instant|/free-download|/win".split("|")
+ORDINARY = (
+    "en.wikipedia.org|de.wikipedia.org|fr.wikipedia.org|www.bbc.co.uk|www.theguardian.com|www.nytimes.com|www.lemonde.fr|www.spiegel.de|elpais.com|news.ycombinator.com|stackoverflow.com|github.com|docs.python.org|developer.mozilla.org|www.w3.org|"
+    "arxiv.org|www.nature.com|pubmed.ncbi.nlm.nih.gov|www.nasa.gov|www.cdc.gov|www.gov.uk|europa.eu|www.un.org|www.who.int|www.mit.edu|www.ox.ac.uk|library.stanford.edu|www.gutenberg.org|www.britannica.com|plato.stanford.edu|"
+    "www.allrecipes.com|www.imdb.com|www.goodreads.com|www.nationalgeographic.com|weather.com|www.timeanddate.com|www.reuters.com|apnews.com|medium.com|blog.example.com|forum.example.org|shop.example.net|www.amazon.com|www.ikea.com|www.booking.com|"
+    "kubernetes.io|spark.apache.org|www.postgresql.org|www.kernel.org|rust-lang.org|www.khanacademy.org|www.coursera.org|www.museum.de|www.bahn.de|www.tagesschau.de|www.rae.es|www.service-public.fr|m.example.com|www.example.com|mail.example.org"
+).split("|")
+ORDINARY_PATHS = "/|/wiki/Water|/news/world|/en/about.html|/de/15751.html|/questions/4821/how-to|/docs/guide/introduction|/2024/05/article-22.html|/science/physics|/recipes/bread|/product/1042|/blog/post-7|/library/catalogue|/fr/actualites|/es/noticias/9|/health/conditions|/travel/paris|/education/lessons/math|/en/10250.html|/papers/1706.pdf|/forum/thread/3312|/contact|/sports/football|/history/europe|/category/books|/en/forecast".split("|")
+
+
+def _paired(sites: list[str], paths: list[str], each: int, label: int) -> list[tuple[str, int]]:
+    return [(f"https://{site}{paths[(each * i + j) % len(paths)]}", label) for i, site in enumerate(sites) for j in range(each)]
+
+
+SEEDS = (*_paired(UNWANTED, UNWANTED_PATHS, 4, 1), *_paired(ORDINARY, ORDINARY_PATHS, 4, 0))
 
 
 def parts(url: Column) -> tuple[Column, Column]:
