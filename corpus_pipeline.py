@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.llm import decontam, ngram_join, quality_fm, secrets, sentencepiece_viterbi
-from tidewell.llm.common import Scratch, read, small
+from tidewell.llm.common import Scratch, private, read, small
 from tidewell.llm.queries import quality_machine, tokenizer
 
 #: Least quality score of a document that stays.
@@ -20,8 +20,9 @@ QUALITY = 0.3
 
 def _without(spark: SparkSession, docs: DataFrame, gone: DataFrame) -> DataFrame:
     """``docs`` but for the listed rows, known by doc_id, null or not, and hash of the text; the list is broadcast only if it is small."""
-    gone = Scratch(spark).keep(gone.select(F.col("doc_id").alias("_gone"), F.col("th").alias("_th")).distinct(), "gone")
-    return docs.join(small(gone), F.col("doc_id").eqNullSafe(F.col("_gone")) & (F.xxhash64("text") == F.col("_th")), "left_anti")
+    id_, th = private("id"), private("th")
+    gone = Scratch(spark).keep(gone.select(F.col("doc_id").alias(id_), F.col("th").alias(th)).distinct(), "gone")
+    return docs.join(small(gone), F.col("doc_id").eqNullSafe(F.col(id_)) & (F.xxhash64("text") == F.col(th)), "left_anti")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
