@@ -126,6 +126,14 @@ def gathered(batches: Iterator[pa.RecordBatch], limit: int, column: str = "text"
         yield pa.concat_batches(held)
 
 
+def gathered_runs(flat: np.ndarray, sizes: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of ``flat``, which have these sizes one after the other, in the order of the codes; and where each begins."""
+    n = sizes[codes]
+    at = np.concatenate([[0], np.cumsum(n)])
+    step = ((np.cumsum(sizes) - sizes)[codes] - at[:-1]).astype(np.int32)  # a slice's ids are far fewer than 2 ** 31
+    return flat[np.repeat(step, n) + np.arange(at[-1], dtype=np.int32)], at
+
+
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 _P = 0xD6E8FEB86659FD93
 

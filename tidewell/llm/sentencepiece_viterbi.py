@@ -22,10 +22,11 @@ from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import mix, pa_schema, slices, small_batches, utf8
+from .common import gathered_runs, mix, pa_schema, slices, small_batches, utf8
 
 SPACE = "▁"
 #: Code points of distinct strings solved at once.
@@ -36,6 +37,8 @@ CHARS = 3 << 20
 CACHE = 300_000
 #: Longer strings that no place cuts are merged plainly: a step a place is too slow for one string alone.
 LONG = 256
+#: Places for remembered pairs of pieces, as a power of two.
+MEMO = 20
 _B = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -135,6 +138,7 @@ class Table:
             if len(halves) == 2 and all(h in place for h in halves) and set(piece) != {SPACE}:
                 self.left[i], self.right[i] = place[halves[0]], place[halves[1]]
                 self.valid[i] = True
+        self.memo: tuple[np.ndarray, np.ndarray] | None = None
         self.periods: dict[str, tuple[int, dict[int, list[str]]]] = {}
         self.powers = np.full(self.longest + 1, _B, np.uint64)
         self.powers[0] = 1
@@ -167,6 +171,21 @@ class Table:
         times = len(string) // most - 2
         return [c * most] * times + rest[len(string) - times * most]
 
+    def stay(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """``compatible``, remembered in a table of fixed size where each pair has one place."""
+        if self.memo is None:
+            self.memo = np.full(1 << MEMO, -1, np.int64), np.zeros(1 << MEMO, bool)
+        keys, oks = self.memo
+        pair = a << 32 | b
+        place = (mix(pair.astype(np.uint64)) >> np.uint64(64 - MEMO)).astype(np.int64)
+        ok, new = oks[place], np.flatnonzero(keys[place] != pair)
+        if len(new):
+            pairs, where = np.unique(pair[new], return_inverse=True)
+            fits = self.compatible(pairs >> 32, pairs & 0xFFFFFFFF)
+            ok[new] = fits[where]
+            keys[place[new]], oks[place[new]] = pair[new], ok[new]
+        return ok
+
     def compatible(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Whether pieces a and b stay apart side by side.
 
@@ -292,8 +311,7 @@ def _advance(first: np.ndarray, size: int, found: list[np.ndarray], table: Table
         else:
             before = np.where(n + 1 < end, best[np.maximum(first[row] + end - n - 2, 0)], -2)
             fits = before < 0  # nothing before it, or a character without a piece
-            pairs, where = np.unique(before[~fits] << 32 | piece[n, row][~fits], return_inverse=True)
-            fits[~fits] = table.compatible(pairs >> 32, pairs & 0xFFFFFFFF)[where]
+            fits[~fits] = table.stay(before[~fits], piece[n, row][~fits])
             # A place that no path reaches can't be built on.
             fits &= (n + 1 == end) | (back[np.maximum(first[row] + end - n - 2, 0)] > 0)
             score[n[fits], row[fits]] = n[fits]
@@ -342,19 +360,31 @@ class Codec:
                 out.append(self.vocabulary.unknown)
         return np.array(out, np.int32).tobytes()
 
-    def _cut(self, text: str) -> list[str]:
-        """The text's units; a plain word stands for itself after one space."""
-        if self.vocabulary.prefix and "  " not in text and SPACE not in text and text[:1] != " " and text[-1:] != " ":
-            return text.split(" ") if text else []
-        return units(text, self.vocabulary.prefix)
-
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids of each text; null and empty texts have none."""
-        cut = [self._cut(t or "") for t in texts]
+        out: list[np.ndarray] = [np.zeros(0, np.int32)] * len(texts)
+        column = pa.array([t or "" for t in texts], pa.large_string())
+        # A plain word stands for itself after one space; other texts are cut with their spaces.
+        odd = [pc.match_substring(column, "  "), pc.match_substring(column, SPACE), pc.starts_with(column, " "), pc.ends_with(column, " "), pc.equal(column, "")]
+        odd = np.logical_or.reduce([x.to_numpy(zero_copy_only=False) for x in odd]) | (not self.vocabulary.prefix)
+        if not odd.all():
+            cut = pc.split_pattern(column.filter(pa.array(~odd)), " ")
+            self._gather(out, np.flatnonzero(~odd), cut.values, cut.offsets.to_numpy().astype(np.int64))
+        if odd.any():
+            cut = [units(texts[i] or "", self.vocabulary.prefix) for i in np.flatnonzero(odd)]
+            self._gather(out, np.flatnonzero(odd), pa.array([u for us in cut for u in us], pa.large_string()), np.concatenate([[0], np.cumsum([len(us) for us in cut])]).astype(np.int64))
+        return out
+
+    def _gather(self, out: list[np.ndarray], rows: np.ndarray, words: pa.Array, edges: np.ndarray) -> None:
+        """Each distinct unit is solved or looked up once; the rows' ids are gathered from theirs."""
+        coded = words.dictionary_encode()
+        known = coded.dictionary.to_pylist()
         if len(self.cache) > CACHE:
             self.old, self.cache = self.cache, {}
         new, size = [], 0
-        for u in set().union(*cut).difference(self.cache):
+        for u in known:
+            if u in self.cache:
+                continue
             if u in self.old:
                 self.cache[u] = self.old[u]
                 continue
@@ -364,8 +394,11 @@ class Codec:
                 self._solve(new)
                 new, size = [], 0
         self._solve(new)
-        get = self.cache.__getitem__
-        return [np.frombuffer(b"".join(map(get, us)), np.int32) for us in cut]
+        found = list(map(self.cache.__getitem__, known))
+        ids, at = gathered_runs(np.frombuffer(b"".join(found), np.int32), np.fromiter(map(len, found), np.int64, len(found)) // 4, coded.indices.to_numpy())
+        ends = at[edges].tolist()
+        for row, a, b in zip(rows.tolist(), ends, ends[1:], strict=False):
+            out[row] = ids[a:b]
 
     def _solve(self, new: list[str]) -> None:
         table, plain = self.vocabulary.table, [u for u in new if u[:2] != SPACE * 2]

@@ -30,7 +30,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_map, gathered, pa_schema, shared_dir, slices, small_batches, utf8
+from .common import arrow_map, gathered, gathered_runs, pa_schema, shared_dir, slices, small_batches, utf8
 
 MAGIC = b"TWTOKEN1"
 INDEX = np.dtype([("doc_id", "<i8"), ("offset", "<u8"), ("bytes", "<u4"), ("ids", "<u4"), ("flags", "<u4")])
@@ -63,14 +63,6 @@ def _kinds() -> np.ndarray:
 _KINDS = _kinds()
 
 
-def _gathered(flat: np.ndarray, sizes: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The runs of ``flat``, which have these sizes one after the other, in the order of the codes; and where each begins."""
-    n = sizes[codes]
-    at = np.concatenate([[0], np.cumsum(n)])
-    step = ((np.cumsum(sizes) - sizes)[codes] - at[:-1]).astype(np.int32)  # a slice's ids are far fewer than 2 ** 31
-    return flat[np.repeat(step, n) + np.arange(at[-1], dtype=np.int32)], at
-
-
 class Encoder:
     """Encodes texts by their white-space separated pieces, each distinct piece of a slice once.
 
@@ -107,7 +99,7 @@ class Encoder:
         ends = np.flatnonzero(self.ends[ids])
         if len(ends) != len(words):
             raise ValueError("the tokenizer doesn't end every word with a token of its own; use whole=True")
-        ids, at = _gathered(ids, np.diff(ends, prepend=-1), coded.indices.to_numpy())
+        ids, at = gathered_runs(ids, np.diff(ends, prepend=-1), coded.indices.to_numpy())
         return ids, np.diff(at[np.concatenate([[0], np.cumsum(runs)])])
 
     def _apart(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -133,7 +125,7 @@ class Encoder:
                 flat.append(ids)
         place = np.empty(len(pieces), np.int64)
         place[np.argsort(~plain, kind="stable")] = np.arange(len(pieces))
-        ids, at = _gathered(np.concatenate([np.zeros(0, np.uint32), *flat]), sizes[np.argsort(place)], place[coded.indices.to_numpy()])
+        ids, at = gathered_runs(np.concatenate([np.zeros(0, np.uint32), *flat]), sizes[np.argsort(place)], place[coded.indices.to_numpy()])
         starts = at[edges - edges[0]]
         return (np.insert(ids, starts[1:], self.end) if ends else ids), starts + ends * np.arange(len(starts))
 
