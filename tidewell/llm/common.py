@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 400_000
 #: Bytes of text hashed at once; bounds the memory of a Python worker.
 CHUNK = 1 << 20
+#: Bytes of a row group in an intermediate table, which a task holds while it writes.
+ROW_GROUP = 32 << 20
 #: Most rows in an Arrow batch.
 BATCH_ROWS = 1_000
 
@@ -45,7 +47,7 @@ class Scratch:
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{shared_dir(self.spark)}/tidewell/{name}-{uuid.uuid4().hex}"
         # A marker file isn't needed: a failed write raises here.
-        df.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path)
+        df.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").option("parquet.block.size", ROW_GROUP).parquet(path)
         self.paths[name] = path
         return self.spark.read.schema(df.schema).parquet(path)
 
@@ -253,12 +255,33 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, BATCH_ROWS)
 
 
-def arrow_map(df: DataFrame, run, schema: str) -> DataFrame:
-    """``mapInArrow`` where ``run(batch)`` gives a dict of columns in the schema's order."""
+#: What a worker keeps between tasks: one operator's at a time.
+_kept: dict[tuple, object] = {}
+
+
+def remembered(key: tuple, make):
+    """The object that the worker's last task made under this key, else a new one in its place."""
+    if key not in _kept:
+        forget()
+        _kept[key] = make()
+    return _kept[key]
+
+
+def forget() -> None:
+    """Drop what other operators' tasks left in the worker, and give unused memory back."""
+    _kept.clear()
+    _powers.cache_clear()
+    pa.default_memory_pool().release_unused()
+
+
+def arrow_map(df: DataFrame, run, schema: str, fresh: bool = True) -> DataFrame:
+    """``mapInArrow`` where ``run(batch)`` gives a dict of columns in the schema's order; ``fresh`` tasks use nothing that is remembered."""
     kind = pa_schema(df.sparkSession, schema)
     small_batches(df.sparkSession)
 
     def each(batches):
+        if fresh:
+            forget()
         for batch in batches:
             if batch.num_rows:
                 yield pa.RecordBatch.from_pydict(run(batch), schema=kind)
@@ -270,7 +293,12 @@ def arrow_fold(df: DataFrame, run, schema: str) -> DataFrame:
     """``mapInArrow`` where ``run(batches)`` reads all of a task's batches and gives one dict of columns."""
     kind = pa_schema(df.sparkSession, schema)
     small_batches(df.sparkSession)
-    return df.mapInArrow(lambda batches: [pa.RecordBatch.from_pydict(run(b for b in batches if b.num_rows), schema=kind)], schema)
+
+    def all_(batches):
+        forget()
+        yield pa.RecordBatch.from_pydict(run(b for b in batches if b.num_rows), schema=kind)
+
+    return df.mapInArrow(all_, schema)
 
 
 def pa_schema(spark: SparkSession, ddl: str) -> pa.Schema:

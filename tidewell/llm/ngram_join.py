@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, arrow_map, batch_words, mix, pa_schema, small, small_batches
+from .common import Scratch, arrow_map, batch_words, forget, mix, pa_schema, small, small_batches
 from .components import components
 
 #: Shingles listed as frequent at most; how many are counted at once, and how often one of those has to stand there to count.
@@ -102,6 +102,7 @@ def global_order(docs: DataFrame, k: int) -> Order:
 
     def counted(batches):
         held, size, total = [], 0, 0
+        forget()
 
         def block():
             found, n = np.unique(np.concatenate(held), return_counts=True)
@@ -264,7 +265,7 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, k: int = 5, num: in
     least = scratch.keep(linked.groupBy("component").agg(F.min("first").alias("component_id")), "least")
     linked = scratch.keep(linked.join(least, "component").select("rep", "component_id"), "members")
     scratch.drop(*[x for x in scratch.paths if x not in ("sets", "classes", "members")])
-    order.unpersist()
+    order.destroy()
     member = classes.join(linked, "rep", "left").select(F.col("rep").alias("k1"), "k2", "n", F.coalesce("component_id", "first").alias("component_id"))
     own = base.where("n > 0").select("doc_id", "n", "k1", "k2").join(member, ["k1", "k2", "n"], "left")
     own = own.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))

@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_map, batch_words, small_batches
+from .common import arrow_map, batch_words, forget, small_batches
 
 #: Hash buckets of the words.
 WORDS = 1 << 14
@@ -132,7 +132,11 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 8_000) -> Machine:
     table = arrow_map(rows, run, "doc_id long, label int, n long, h long, at array<int>, x array<double>").toArrow().sort_by([("doc_id", "ascending"), ("n", "ascending"), ("h", "ascending")])
     at, x = (table.column(c).combine_chunks() if table.num_rows else None for c in ("at", "x"))
     pairs = [(at[i].values.to_numpy().astype(np.int64), x[i].values.to_numpy()) for i in range(table.num_rows)]
-    return fit(pairs, table.column("label").to_numpy().astype(float) if table.num_rows else np.zeros(0))
+    labels = table.column("label").to_numpy().astype(float) if table.num_rows else np.zeros(0)
+    machine = fit(pairs, labels)
+    del table, at, x, pairs
+    forget()
+    return machine
 
 
 def score(spark: SparkSession, docs: DataFrame, machine: Machine, keep: float | None = None) -> DataFrame:

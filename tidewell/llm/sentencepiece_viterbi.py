@@ -26,15 +26,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import gathered_runs, mix, pa_schema, slices, small_batches, utf8
+from .common import gathered_runs, mix, pa_schema, remembered, slices, small_batches, utf8
 
 SPACE = "▁"
 #: Code points of distinct strings solved at once.
-BLOCK = 1 << 17
+BLOCK = 1 << 16
 #: Bytes of text encoded at once.
-CHARS = 3 << 20
+CHARS = 1 << 20
 #: Encoded units in each of the two generations a worker remembers.
-CACHE = 300_000
+CACHE = 100_000
 #: Longer strings that no place cuts are merged plainly: a step a place is too slow for one string alone.
 LONG = 256
 #: Places for remembered pairs of pieces, as a power of two.
@@ -474,17 +474,6 @@ def digest(spark: SparkSession, docs: DataFrame, path: str) -> DataFrame:
     return _coded(spark, docs, path, "doc_id long, n_tokens long, ids_crc32 long, restored boolean", columns)
 
 
-#: The codec a worker used last; its remembered units serve the tasks that follow.
-_last: dict[str, Codec] = {}
-
-
-def _codec(path: str, vocabulary: Pieces) -> Codec:
-    if path not in _last:
-        _last.clear()
-        _last[path] = Codec(vocabulary)
-    return _last[path]
-
-
 def _same(text: str, decoded: str) -> bool:
     return text.replace(SPACE, " ") == decoded
 
@@ -496,7 +485,7 @@ def _coded(spark: SparkSession, docs: DataFrame, path: str, ddl: str, columns) -
     small_batches(spark)
 
     def each(batches):
-        codec = _codec(path, sent.value)
+        codec = remembered(("codec", path), lambda: Codec(sent.value))
         for batch in batches:
             for lo, hi in slices(utf8(batch.column("text"))[0], CHARS):
                 texts = [t or "" for t in batch.column("text").slice(lo, hi - lo).to_pylist()]

@@ -30,7 +30,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_map, gathered, gathered_runs, pa_schema, shared_dir, slices, small_batches, utf8
+from .common import arrow_map, gathered, gathered_runs, pa_schema, remembered, shared_dir, slices, small_batches, utf8
 
 MAGIC = b"TWTOKEN1"
 INDEX = np.dtype([("doc_id", "<i8"), ("offset", "<u8"), ("bytes", "<u4"), ("ids", "<u4"), ("flags", "<u4")])
@@ -130,15 +130,8 @@ class Encoder:
         return (np.insert(ids, starts[1:], self.end) if ends else ids), starts + ends * np.arange(len(starts))
 
 
-#: The encoder a worker used last, for the tasks that follow.
-_last: dict[tuple, Encoder] = {}
-
-
 def _encoder(*key) -> Encoder:
-    if key not in _last:
-        _last.clear()
-        _last[key] = Encoder(*key)
-    return _last[key]
+    return remembered(("encoder", *key), lambda: Encoder(*key))
 
 
 def _packed(ids: np.ndarray) -> tuple[bytes, int]:
@@ -155,7 +148,7 @@ def train_dictionary(docs: DataFrame, path: str, end: int | None, whole: bool =
         ids, at = _encoder(path, end, whole).encode(batch.column("text"))
         return {"doc_id": batch.column("doc_id"), "ids": [_packed(ids[a:b])[0] for a, b in zip(at, at[1:], strict=False)]}
 
-    samples = arrow_map(rows, run, "doc_id long, ids binary").toArrow().sort_by([("doc_id", "ascending"), ("ids", "ascending")]).column("ids").to_pylist()
+    samples = arrow_map(rows, run, "doc_id long, ids binary", fresh=False).toArrow().sort_by([("doc_id", "ascending"), ("ids", "ascending")]).column("ids").to_pylist()
     samples = [x for x in samples if len(x) >= 8]
     try:
         return zstandard.train_dictionary(DICTIONARY, samples).as_bytes() if len(samples) >= 8 else b""
