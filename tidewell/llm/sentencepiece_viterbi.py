@@ -30,11 +30,11 @@ from .common import gathered_runs, mix, pa_schema, remembered, slices, small_bat
 
 SPACE = "▁"
 #: Code points of distinct strings solved at once.
-BLOCK = 1 << 16
+BLOCK = 1 << 17
 #: Bytes of text encoded at once.
-CHARS = 1 << 20
+CHARS = 3 << 20
 #: Encoded units in each of the two generations a worker remembers.
-CACHE = 100_000
+CACHE = 200_000
 #: Longer strings that no place cuts are merged plainly: a step a place is too slow for one string alone.
 LONG = 256
 #: Places for remembered pairs of pieces, as a power of two.
