@@ -46,6 +46,22 @@ def test_viterbi_without_bytes_or_spaces():
     assert [r.tolist() for r in codec.encode(["", "abab", "a b", "zzab", "aba"])] == [[], [4, 4], [2, 1, 3], [0, 4], [5]]
 
 
+def test_units_remembered(monkeypatch):
+    import sentencepiece
+
+    path = tokenizer("piece_bpe_32k.model")
+    library, rng = sentencepiece.SentencePieceProcessor(model_file=path), np.random.default_rng(5)
+    monkeypatch.setattr(sentencepiece_viterbi, "CACHE", 40)
+    codec = sentencepiece_viterbi.Codec(sentencepiece_viterbi.Pieces.load(path))
+    words = ["the", "water", "Ünï", "日本語", "a" * 300, "x1", "", "", "=" * 900, "\U0001f600", "\n", "don't", *("w%d" % i for i in range(60))]
+    for _ in range(30):  # units are forgotten and solved again
+        texts = [" ".join(rng.choice(words, rng.integers(0, 9))) for _ in range(8)]
+        assert [x.tolist() for x in codec.encode(texts)] == library.encode(texts)
+        assert codec.decode(codec.encode(texts)) == texts
+        assert len(codec.units) == len(codec.sizes) == len(codec.seen) <= 40 and codec.sizes.sum() == len(codec.ids)
+        assert all(len(u.encode()) <= sentencepiece_viterbi.UNIT for u in codec.units.to_pylist())
+
+
 def test_quality(spark, odd, empty):
     labels = spark.createDataFrame([(3, 1), (6, 0), (7, 0), (4, 1), (4, None), (None, 1), (99, 5)], "doc_id long, label int")
     machine = quality_fm.train(odd, labels)

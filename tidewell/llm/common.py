@@ -3,6 +3,8 @@ size-checked broadcasts and vectorised text hashing over Arrow buffers."""
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import functools
 import tempfile
 import uuid
@@ -271,7 +273,14 @@ def forget() -> None:
     """Drop what other operators' tasks left in the worker, and give unused memory back."""
     _kept.clear()
     _powers.cache_clear()
+    trim()
+
+
+def trim() -> None:
+    """Give the worker's unused memory back to the system, where the C library can."""
     pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def arrow_map(df: DataFrame, run, schema: str, fresh: bool = True) -> DataFrame:
@@ -285,6 +294,7 @@ def arrow_map(df: DataFrame, run, schema: str, fresh: bool = True) -> DataFrame:
         for batch in batches:
             if batch.num_rows:
                 yield pa.RecordBatch.from_pydict(run(batch), schema=kind)
+        trim()
 
     return df.mapInArrow(each, schema)
 

@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, arrow_map, batch_words, forget, mix, pa_schema, small, small_batches
+from .common import Scratch, arrow_map, batch_words, forget, mix, pa_schema, small, small_batches, trim
 from .components import components
 
 #: Shingles listed as frequent at most; how many are counted at once, and how often one of those has to stand there to count.
@@ -119,6 +119,8 @@ def global_order(docs: DataFrame, k: int) -> Order:
         if held:
             yield block()
         yield pa.RecordBatch.from_pydict({"b": [None], "c": [total]}, schema=kind)
+        held.clear()
+        trim()
 
     sums = docs.select("text").mapInArrow(counted, "b long, c long").groupBy("b").agg(F.sum("c").alias("c"))
     rows = sums.orderBy(F.col("b").isNotNull(), F.col("c").desc(), "b").limit(LISTED + 1).toArrow()

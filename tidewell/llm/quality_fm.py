@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_map, batch_words, forget, small_batches
+from .common import arrow_map, batch_words, forget, small_batches, trim
 
 #: Hash buckets of the words.
 WORDS = 1 << 14
@@ -161,6 +161,7 @@ def score(spark: SparkSession, docs: DataFrame, machine: Machine, keep: float |
         for batch in batches:
             if batch.num_rows:
                 yield batch.filter(pa.array(scores(batch) >= keep))
+        trim()
 
     small_batches(spark)
     return docs.mapInArrow(each, docs.schema)

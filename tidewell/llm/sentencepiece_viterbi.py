@@ -26,15 +26,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import gathered_runs, mix, pa_schema, remembered, slices, small_batches, utf8
+from .common import gathered_runs, mix, pa_schema, remembered, slices, small_batches, trim, utf8
 
 SPACE = "▁"
 #: Code points of distinct strings solved at once.
 BLOCK = 1 << 17
 #: Bytes of text encoded at once.
-CHARS = 3 << 20
-#: Encoded units in each of the two generations a worker remembers.
-CACHE = 200_000
+CHARS = 2 << 20
+#: Encoded units that a worker remembers at most between slices, and the bytes of a unit that it remembers.
+CACHE, UNIT = 400_000, 256
 #: Longer strings that no place cuts are merged plainly: a step a place is too slow for one string alone.
 LONG = 256
 #: Places for remembered pairs of pieces, as a power of two.
@@ -344,10 +344,13 @@ def units(text: str, prefix: bool = True) -> list[str]:
 
 
 class Codec:
-    """Encodes and decodes; remembers the units it has solved."""
+    """Encodes and decodes; remembers the units it has solved, in flat arrays: the units, their ids end to end, how many
+    ids each has, and the slice that last had it."""
 
     def __init__(self, vocabulary: Pieces):
-        self.vocabulary, self.cache, self.old, self.runs = vocabulary, {}, {}, {0: []}
+        self.vocabulary, self.runs, self.turn = vocabulary, {0: []}, 0
+        self.units, self.ids = pa.array([], pa.large_string()), np.zeros(0, np.int32)
+        self.sizes, self.seen = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def _final(self, ids: list[int]) -> bytes:
         out, known = [], self.vocabulary.byte_ids
@@ -378,37 +381,52 @@ class Codec:
     def _gather(self, out: list[np.ndarray], rows: np.ndarray, words: pa.Array, edges: np.ndarray) -> None:
         """Each distinct unit is solved or looked up once; the rows' ids are gathered from theirs."""
         coded = words.dictionary_encode()
-        known = coded.dictionary.to_pylist()
-        if len(self.cache) > CACHE:
-            self.old, self.cache = self.cache, {}
-        new, size = [], 0
-        for u in known:
-            if u in self.cache:
-                continue
-            if u in self.old:
-                self.cache[u] = self.old[u]
-                continue
-            new.append(u)
-            size += len(u) + 1
-            if size > BLOCK:
-                self._solve(new)
-                new, size = [], 0
-        self._solve(new)
-        found = list(map(self.cache.__getitem__, known))
-        ids, at = gathered_runs(np.frombuffer(b"".join(found), np.int32), np.fromiter(map(len, found), np.int64, len(found)) // 4, coded.indices.to_numpy())
+        known = coded.dictionary
+        entry = pc.fill_null(pc.index_in(known, value_set=self.units), -1).to_numpy().astype(np.int64)
+        new = np.flatnonzero(entry < 0)
+        fresh = known.take(pa.array(new))
+        made = self._solved(fresh.to_pylist())
+        entry[new] = len(self.units) + np.arange(len(new))
+        solved, sizes = np.frombuffer(b"".join(made), np.int32), np.fromiter(map(len, made), np.int64, len(made)) // 4
+        ids, at = gathered_runs(np.concatenate([self.ids, solved]), np.concatenate([self.sizes, sizes]), entry[coded.indices.to_numpy()])
         ends = at[edges].tolist()
         for row, a, b in zip(rows.tolist(), ends, ends[1:], strict=False):
             out[row] = ids[a:b]
+        self.turn += 1
+        self.seen[entry[entry < len(self.seen)]] = self.turn
+        self._remember(fresh, solved, sizes)
+
+    def _remember(self, fresh: pa.Array, solved: np.ndarray, sizes: np.ndarray) -> None:
+        """Add solved units but for long ones; beyond CACHE the half that was seen last stays."""
+        short = np.flatnonzero(pc.binary_length(fresh).to_numpy() <= UNIT)
+        if len(short) < len(fresh):
+            fresh, (solved, _), sizes = fresh.take(pa.array(short)), gathered_runs(solved, sizes, short), sizes[short]
+        units, ids = pa.concat_arrays([self.units, fresh]), np.concatenate([self.ids, solved])
+        sizes, seen = np.concatenate([self.sizes, sizes]), np.concatenate([self.seen, np.full(len(sizes), self.turn)])
+        if len(units) > CACHE:
+            keep = np.sort(np.argsort(-seen, kind="stable")[: CACHE // 2])
+            units, (ids, _), sizes, seen = units.take(pa.array(keep)), gathered_runs(ids, sizes, keep), sizes[keep], seen[keep]
+        self.units, self.ids, self.sizes, self.seen = units, ids, sizes, seen
+
+    def _solved(self, new: list[str]) -> list[bytes]:
+        """The ids of each of the strings, BLOCK code points of strings at a time."""
+        out, lo, size = [], 0, 0
+        for hi, u in enumerate(new, 1):
+            size += len(u) + 1
+            if size > BLOCK or hi == len(new):
+                out += self._solve(new[lo:hi])
+                lo, size = hi, 0
+        return out
 
-    def _solve(self, new: list[str]) -> None:
-        table, plain = self.vocabulary.table, [u for u in new if u[:2] != SPACE * 2]
+    def _solve(self, new: list[str]) -> list[bytes]:
+        table, made, plain = self.vocabulary.table, {}, [u for u in new if u[:2] != SPACE * 2]
         ids, at = segment([u if u[:1] == SPACE or not self.vocabulary.prefix else SPACE + u for u in plain], table)
         data, edges = ids.astype(np.int32).tobytes(), (4 * at).tolist()
         for u, a, b in zip(plain, edges, edges[1:], strict=False):
-            self.cache[u] = data[a:b]
+            made[u] = data[a:b]
         # Strings with characters that have no piece.
         for i in np.unique(np.searchsorted(at, np.flatnonzero(ids < 0), "right") - 1).tolist():
-            self.cache[plain[i]] = self._final(ids[at[i] : at[i + 1]].tolist())
+            made[plain[i]] = self._final(ids[at[i] : at[i + 1]].tolist())
         # Spaces come last in the ranks: what follows takes the last of a run if it can, the rest merge among themselves.
         runs = [u for u in new if u[:2] == SPACE * 2]
         words = [u.lstrip(SPACE) for u in runs]
@@ -417,7 +435,8 @@ class Codec:
             own, run = ids[at[i] : at[i + 1]].tolist(), len(unit) - len(word) - (word != "")
             if own and own[0] == self._space_id():
                 run, own = run + 1, own[1:]
-            self.cache[unit] = self._final([*self._run(run), *own])
+            made[unit] = self._final([*self._run(run), *own])
+        return [made[u] for u in new]
 
     def _space_id(self) -> int:
         at = int(self.vocabulary.table.probe(mix(np.array([_raw_hash(SPACE) + np.uint64(1)])))[0])
@@ -425,6 +444,8 @@ class Codec:
 
     def _run(self, n: int) -> list[int]:
         if n not in self.runs:
+            if len(self.runs) > UNIT:
+                self.runs = {0: []}
             table = self.vocabulary.table
             spaces = {k: r for k, r in table.ranks.items() if set(k) == {SPACE}}
             at = table.probe(np.array([mix(np.array([_raw_hash(p) + np.uint64(len(p))]))[0] for p in merge(SPACE * n, spaces)], np.uint64))
@@ -486,10 +507,15 @@ def _coded(spark: SparkSession, docs: DataFrame, path: str, ddl: str, columns) -
 
     def each(batches):
         codec = remembered(("codec", path), lambda: Codec(sent.value))
+
+        def coded(part):
+            texts = [t or "" for t in part.column("text").to_pylist()]
+            ids = codec.encode(texts)
+            return pa.RecordBatch.from_pydict({"doc_id": part.column("doc_id"), **columns(texts, ids, codec.decode(ids))}, schema=kind)
+
         for batch in batches:
             for lo, hi in slices(utf8(batch.column("text"))[0], CHARS):
-                texts = [t or "" for t in batch.column("text").slice(lo, hi - lo).to_pylist()]
-                ids = codec.encode(texts)
-                yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id").slice(lo, hi - lo), **columns(texts, ids, codec.decode(ids))}, schema=kind)
+                yield coded(batch.slice(lo, hi - lo))
+                trim()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(each, ddl)
